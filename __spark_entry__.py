@@ -22,6 +22,7 @@ from shotmarts.functions import labels as lb  # noqa: E402
 from shotmarts.functions import shots as fn  # noqa: E402
 from shotmarts.plans import players, quality, serving, shots, teams  # noqa: E402
 from shotmarts.plans.marts import Marts  # noqa: E402
+from shotmarts.session import tune  # noqa: E402
 from shotmarts.sources import documents, increments, schemas  # noqa: E402
 from shotmarts.sources import trial_documents as td  # noqa: E402
 from shotmarts.sources import trial_tables as tt  # noqa: E402
@@ -35,15 +36,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _trial(run: Callable[[tt.TrialTables], DataFrame]) -> Query:
-    return lambda spark, folder: run(tt.TrialTables(spark, folder))
+    return lambda spark, folder: run(tt.TrialTables(tune(spark), folder))
 
 
 def _lazy(run: Callable[[Marts], DataFrame]) -> Query:
-    return lambda spark, folder: run(Marts(tt.TrialTables(spark, folder)))
+    return _trial(lambda tables: run(Marts(tables)))
 
 
 def _stored(run: Callable[[Marts], DataFrame]) -> Query:
-    return lambda spark, folder: run(Marts.stored(tt.TrialTables(spark, folder)))
+    return _trial(lambda tables: run(Marts.stored(tables)))
 
 
 # --- loads: documents are made as text, then parsed and flattened --------------------------------

@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Adding a full half would round the double just under one half up.
+JUST_UNDER_HALF = math.nextafter(0.5, 0.0)
 XG_DIGITS = 8  # fixed-point digits kept when expected goals are added up
 
 
-def round_half_up(c: Column, digits: int) -> Column:
+def round_half_up(c: Column, digits: int, signed: bool = True) -> Column:
     """Round a double, ties away from zero.
 
     Scaling, rounding to a whole number and scaling back is what SQL engines do for doubles.
     ``F.round`` goes through a decimal string instead: other answers on near-ties, and an
-    allocation per row. Adding 0.0 turns -0.0 into 0.0.
+    allocation per row. ``signed=False``, for values that cannot be negative, evaluates ``c`` only
+    once, which keeps generated code short. Adding 0.0 turns -0.0 into 0.0.
     """
     factor = F.lit(10.0**digits)
     scaled = c.cast("double") * factor
-    whole = F.rint(scaled)
-    is_tie = (scaled - whole) == F.lit(0.5) * F.signum(scaled)
-    return F.when(is_tie, whole + F.signum(scaled)).otherwise(whole) / factor + F.lit(0.0)
+    if signed:
+        whole = F.signum(scaled) * F.floor(F.abs(scaled) + F.lit(JUST_UNDER_HALF))
+    else:
+        whole = F.floor(scaled + F.lit(JUST_UNDER_HALF))
+    return whole / factor + F.lit(0.0)
 
 
 def round_half_even(c: Column, digits: int) -> Column:

@@ -47,23 +47,21 @@ def game_number(game_id: Column) -> Column:
 
 def net_x(team: Column, home: Column, away: Column, home_side: Column, x: Column) -> Column:
     """x of the net shot at. With no known side or team, the net on the shot's half."""
-    far, near = F.lit(NET_X), F.lit(-NET_X)
-    return (
-        F.when((team == home) & (home_side == "left"), far)
-        .when((team == home) & (home_side == "right"), near)
-        .when((team == away) & (home_side == "left"), near)
-        .when((team == away) & (home_side == "right"), far)
-        .when(x >= 0, far)
-        .otherwise(near)
+    known = home_side.isin("left", "right")
+    shoots_far = (
+        F.when(known & (team == home), home_side == "left")
+        .when(known & (team == away), home_side == "right")
+        .otherwise(x >= 0)
     )
+    return F.when(shoots_far, F.lit(NET_X)).otherwise(F.lit(-NET_X))
 
 
 def shot_distance(x: Column, y: Column, net: Column) -> Column:
-    return round_half_up(F.sqrt((x - net) * (x - net) + y * y), 2)
+    return round_half_up(F.sqrt((x - net) * (x - net) + y * y), 2, signed=False)
 
 
 def shot_angle(x: Column, y: Column, net: Column) -> Column:
-    return round_half_up(F.degrees(F.atan2(F.abs(y), F.abs(net - x))), 2)
+    return round_half_up(F.degrees(F.atan2(F.abs(y), F.abs(net - x))), 2, signed=False)
 
 
 def is_empty_net(

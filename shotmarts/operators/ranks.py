@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shotmarts.functions.numeric import round_half_up, to_fixed_point
 from shotmarts.operators.joins import join_null_safe
-from shotmarts.operators.windows import BLOCK_SPAN, _sum_before
+from shotmarts.operators.windows import BLOCK_SPAN, sum_before
 from shotmarts.sources.tables import staged
 
 
@@ -23,7 +23,11 @@ class Metric(NamedTuple):
 
 
 def percent_ranks(
-    df: DataFrame, by: str, metrics: Mapping[str, Metric], digits: int = 3
+    df: DataFrame,
+    by: str,
+    metrics: Mapping[str, Metric],
+    digits: int = 3,
+    span: int = BLOCK_SPAN,
 ) -> DataFrame:
     """``percent_rank`` of several metrics within each group; a NULL metric ranks highest.
 
@@ -33,7 +37,7 @@ def percent_ranks(
     looks its rank up. Only distinct values are ever sorted.
     """
     rows = staged(df, "ranked-rows")
-    ranks = staged(_rank_table(rows, by, metrics, digits), "rank-table")
+    ranks = staged(_rank_table(rows, by, metrics, digits, span), "rank-table")
     for name, metric in metrics.items():
         own = ranks.where(F.col("metric") == name).select(by, "grid", F.col("pct_rank").alias(name))
         keyed = rows.withColumn("grid", _grid(metric))
@@ -46,7 +50,9 @@ def _grid(metric: Metric) -> Column:
     return -value if metric.descending else value
 
 
-def _rank_table(df: DataFrame, by: str, metrics: Mapping[str, Metric], digits: int) -> DataFrame:
+def _rank_table(
+    df: DataFrame, by: str, metrics: Mapping[str, Metric], digits: int, span: int
+) -> DataFrame:
     """Percent rank of each distinct (group, metric, grid value)."""
     pairs = [
         F.struct(F.lit(name).alias("metric"), _grid(metric).alias("grid"))
@@ -56,7 +62,7 @@ def _rank_table(df: DataFrame, by: str, metrics: Mapping[str, Metric], digits: i
         df.select(by, F.inline(F.array(*pairs)))
         .groupBy(by, "metric", "grid")
         .agg(F.count("*").alias("rows"))
-        .withColumn("block", F.floor(F.col("grid") / F.lit(BLOCK_SPAN)).cast("bigint"))
+        .withColumn("block", F.floor(F.col("grid") / F.lit(span)).cast("bigint"))
     )
     group = Window.partitionBy(by, "metric")
     blocks = counts.groupBy(by, "metric", "block").agg(F.sum("rows").alias("block_rows"))
@@ -64,11 +70,11 @@ def _rank_table(df: DataFrame, by: str, metrics: Mapping[str, Metric], digits: i
         by,
         "metric",
         "block",
-        _sum_before("block_rows", group.orderBy(F.col("block").asc_nulls_last())).alias("offset"),
+        sum_before("block_rows", group.orderBy(F.col("block").asc_nulls_last())).alias("offset"),
         F.sum("block_rows").over(group).alias("group_rows"),
     )
     within = Window.partitionBy(by, "metric", "block").orderBy(F.col("grid").asc_nulls_last())
-    placed = counts.withColumn("before", _sum_before("rows", within))
+    placed = counts.withColumn("before", sum_before("rows", within))
     joined = join_null_safe(placed, blocks, [by, "metric", "block"], "inner")
     ahead = (F.col("before") + F.col("offset")).cast("double")
     share = F.coalesce(ahead / F.nullif(F.col("group_rows") - 1, F.lit(0)), F.lit(0.0))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from shotmarts.functions.numeric import safe_div, to_fixed_point
 from shotmarts.operators.joins import join_null_safe
@@ -42,7 +43,7 @@ def number_rows(
     offsets = (
         blocked.groupBy(*cut)
         .agg(F.count("*").alias("_rows"))
-        .select(*cut, _sum_before("_rows", earlier).alias("_before"))
+        .select(*cut, sum_before("_rows", earlier).alias("_before"))
     )
     numbered = blocked.withColumn("_place", F.row_number().over(within))
     joined = join_null_safe(numbered, offsets, cut, "inner")
@@ -51,7 +52,8 @@ def number_rows(
     )
 
 
-def _sum_before(column: str, ordered) -> Column:
+def sum_before(column: str, ordered: WindowSpec) -> Column:
+    """Sum over the rows ahead of the current one; 0 for the first."""
     preceding = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(column).over(preceding), F.lit(0).cast("bigint"))
 

@@ -16,7 +16,7 @@ XG_KEYS = ("mp_game_id", "shooter_id", "period", "seconds_elapsed")
 
 def parse_plays(plays: DataFrame, strict: bool = True) -> DataFrame:
     """Plays with coordinates, plus the situation digits and the clock in seconds."""
-    located = plays.dropna(subset=["x_coord", "y_coord"])
+    located = plays.where(F.col("x_coord").isNotNull() & F.col("y_coord").isNotNull())
     return located.withColumns(
         {
             **fn.parse_situation(F.col("situation_code"), strict),

@@ -1,5 +1,9 @@
 """Landed JSON documents to raw tables. Every flattening is one pass without a shuffle, unless
-the newest of several documents has to win."""
+the newest of several documents has to win.
+
+Arrays are unnested with the outer form and missing elements filtered afterwards: for the inner
+form Spark adds a test on the array below it, which parses the document once more.
+"""
 
 from __future__ import annotations
 
@@ -44,9 +48,10 @@ def _required(c: Column, what: str) -> Column:
 
 def _scheduled_games(docs: DataFrame) -> DataFrame:
     """One row per listed game; ``seen`` orders the listings of a game, newest last."""
-    weeks = docs.select("doc_ts", F.posexplode("gameWeek").alias("week_pos", "week"))
-    games = weeks.select("doc_ts", "week_pos", F.posexplode("week.games").alias("game_pos", "game"))
-    return games.select("game", F.struct("doc_ts", "week_pos", "game_pos").alias("seen"))
+    weeks = docs.select("doc_ts", F.posexplode_outer("gameWeek").alias("week_pos", "week"))
+    games = weeks.select("doc_ts", "week_pos", F.posexplode_outer("week.games").alias("game_pos", "game"))
+    listed = games.where(F.col("game").isNotNull())
+    return listed.select("game", F.struct("doc_ts", "week_pos", "game_pos").alias("seen"))
 
 
 def flatten_schedule(docs: DataFrame) -> DataFrame:
@@ -93,7 +98,7 @@ def completed_games(
 
 def flatten_plays(docs: DataFrame) -> DataFrame:
     """Shot events of play-by-play documents, each with its own payload kept as text."""
-    plays = docs.select("id", "season", F.explode("plays").alias("raw"))
+    plays = docs.select("id", "season", F.explode_outer("plays").alias("raw"))
     parsed = plays.withColumn("play", F.from_json("raw", schemas.PLAY))
     shots = parsed.where(F.col("play.typeDescKey").isin(*SHOT_EVENTS))
     details = F.col("play.details")
@@ -124,7 +129,8 @@ def flatten_plays(docs: DataFrame) -> DataFrame:
 
 def current_teams(docs: DataFrame) -> DataFrame:
     """Distinct clubs of the standings."""
-    clubs = docs.select(F.explode("standings").alias("entry"))
+    entries = docs.select(F.explode_outer("standings").alias("entry"))
+    clubs = entries.where(F.col("entry").isNotNull())
     return clubs.select(
         _required(F.col("entry.teamAbbrev.default"), "team").alias("team_abbrev")
     ).distinct()
@@ -133,7 +139,8 @@ def current_teams(docs: DataFrame) -> DataFrame:
 def flatten_roster(docs: DataFrame) -> DataFrame:
     """Players of roster documents: forwards, defence and goalies as one row set."""
     groups = [F.coalesce(F.col(group), F.array()) for group in ROSTER_GROUPS]
-    players = docs.select("team_abbrev", F.explode(F.concat(*groups)).alias("p"))
+    slots = docs.select("team_abbrev", F.explode_outer(F.concat(*groups)).alias("p"))
+    players = slots.where(F.col("p").isNotNull())
     return with_ingested_at(
         players.select(
             _required(F.col("p.id"), "player id").alias("player_id"),
@@ -159,7 +166,8 @@ def flatten_skater_stats(docs: DataFrame, season: int | None = None) -> DataFram
     """Season lines of skaters. Missing text is empty and missing counts are 0; the shooting
     percentage and the time on ice stay NULL. ``season`` stands in for the envelope's."""
     season_id = F.col("season_id") if season is None else F.lit(season)
-    lines = docs.select(season_id.alias("season_id"), F.explode("data").alias("s"))
+    slots = docs.select(season_id.alias("season_id"), F.explode_outer("data").alias("s"))
+    lines = slots.where(F.col("s").isNotNull())
 
     def text(field: str, name: str) -> Column:
         return F.coalesce(F.col(f"s.{field}"), F.lit("")).alias(name)

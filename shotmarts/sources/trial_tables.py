@@ -8,7 +8,7 @@ a game id is start year, two digits of game type and a ten-digit number.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +22,21 @@ def _pad2(expr: str) -> str:
     return f"lpad(cast({expr} as {_TEXT}), 2, '0')"
 
 
+def _word(index: str, words: Sequence[str]) -> str:
+    """The word at an index, NULL for an empty one, cut out of one literal. A chain of cases would
+    evaluate the index once per word."""
+    width = max(map(len, words))
+    row = "".join(word.ljust(width) for word in words)
+    return f"nullif(rtrim(substring('{row}', cast({width} * ({index}) + 1 as int), {width})), '')"
+
+
 def _game_steps(key: str) -> list[Step]:
     """Season, type, id and teams of a game from its running number."""
     return [
         {"seq": f"cast(({key} - {key} % 25) / 25 as bigint)"},
         {"yr": "seq % 3", "q": "cast((seq - seq % 3) / 3 as bigint)"},
-        {"kind": "case q % 20 when 0 then 1 when 1 then 3 else 2 end"},
+        {"slot": "q % 20"},
+        {"kind": "case slot when 0 then 1 when 1 then 3 else 2 end"},
         {
             "game_id": "(2023 + yr) * 1000000000000 + kind * 10000000000 + q",
             "season": "cast((2023 + yr) * 10000 + 2024 + yr as int)",
@@ -67,20 +76,23 @@ PLAYS: list[Step] = [
         "period": "cast(1 + l_partkey % 5 as int)",
         "time_in_period": f"concat({_pad2('cast(l_quantity as bigint) % 20')}, ':',"
         f" {_pad2('l_partkey % 60')})",
-        "event_type": "case when k = 0 then 'goal' when k <= 5 then 'shot-on-goal'"
-        " when k <= 7 then 'missed-shot' else 'blocked-shot' end",
+        "event_type": _word(
+            "k", ["goal", *["shot-on-goal"] * 5, *["missed-shot"] * 2, *["blocked-shot"] * 2]
+        ),
         "x_coord": "cast(case when l_partkey % 97 <> 0"
         " then (l_partkey * 7 + l_linenumber * 13) % 199 - 99 end as double)",
         "y_coord": "cast((l_suppkey * 11 + l_linenumber * 5) % 85 - 42 as double)",
-        "shot_type": "case l_partkey % 7 when 0 then 'wrist' when 1 then 'slap' when 2 then 'snap'"
-        " when 3 then 'tip-in' when 4 then 'backhand' when 5 then 'wrap-around' end",
+        "shot_type": _word(
+            "l_partkey % 7", ["wrist", "slap", "snap", "tip-in", "backhand", "wrap-around", ""]
+        ),
         "shooter_id": "case when l_partkey % 101 <> 0"
         " then 8470000 + l_suppkey * 5 + least(l_linenumber - 1, 4) end",
         "goalie_id": "cast(null as bigint)",
         "team_id": "case when l_linestatus = 'O' then home_team_id else away_team_id end",
-        "situation_code": "case (l_orderkey + l_partkey) % 11 when 0 then '0651' when 1 then '1560'"
-        " when 2 then '1541' when 3 then '1451' when 4 then '1441' when 5 then '1331'"
-        " when 6 then '1010' when 7 then null else '1551' end",
+        "situation_code": _word(
+            "(l_orderkey + l_partkey) % 11",
+            ["0651", "1560", "1541", "1451", "1441", "1331", "1010", "", *["1551"] * 3],
+        ),
         "home_defending_side": "case l_returnflag when 'A' then 'left' when 'R' then 'right' end",
         "away_score": "cast(null as int)",
         "home_score": "cast(null as int)",
@@ -90,6 +102,9 @@ PLAYS: list[Step] = [
         " when l_partkey % 3 = 1 then '' end",
     },
 ]
+PLAY_SOURCE = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus",
+)
 PLAY_COLUMNS = (
     "game_id", "event_id", "season", "period", "time_in_period", "event_type", "x_coord",
     "y_coord", "shot_type", "shooter_id", "goalie_id", "team_id", "situation_code",
@@ -184,10 +199,14 @@ SEASONS = (20232024, 20242025, 20252026)
 
 def _apply(df: DataFrame, steps: list[Step]) -> DataFrame:
     for step in steps:
-        df = df.withColumns({name: F.expr(expr) for name, expr in step.items()})
+        df = df.selectExpr("*", *_named(step))
     return df
 
 
+def _named(step: Step) -> list[str]:
+    return [f"{expr} as {name}" for name, expr in step.items()]
+
+
 class TrialTables:
     """Raw tables over one folder of trial Parquet files."""
 
@@ -195,8 +214,15 @@ class TrialTables:
         self.spark = spark
         self.folder = folder
 
-    def _source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    def _source(self, name: str, *spread_by: str) -> DataFrame:
+        """A source file. One that comes as fewer files than there are cores is spread over all
+        of them, as its single row group would keep everything up to the first shuffle in one
+        task; a table of many files is read as it is."""
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if spread_by and len(df.inputFiles()) < cores:
+            return df.repartition(cores, *spread_by)
+        return df
 
     def raw_games(self) -> DataFrame:
         seqs = self._source("orders").select(F.expr(_game_steps("o_orderkey")[0]["seq"]).alias("seq"))
@@ -207,7 +233,9 @@ class TrialTables:
         )
 
     def _plays(self) -> DataFrame:
-        return _apply(self._source("lineitem"), PLAYS)
+        """The columns the rules use are never NULL; saying so shortens the generated code."""
+        present = " and ".join(f"{c} is not null" for c in PLAY_SOURCE)
+        return _apply(self._source("lineitem", "l_orderkey", "l_linenumber").where(present), PLAYS)
 
     def raw_plays(self) -> DataFrame:
         stamp = F.lit(None).cast("timestamp")
@@ -231,7 +259,7 @@ class TrialTables:
             for condition, (shift, xg, rush, rebound) in XG_VARIANTS.items()
         ]
         spread = shots.select("*", F.inline(F.array_compact(F.array(*variants))))
-        return spread.select(*[F.expr(expr).alias(name) for name, expr in XG_COLUMNS.items()])
+        return spread.selectExpr(*_named(XG_COLUMNS))
 
     def raw_players(self) -> DataFrame:
         slots = self._source("supplier").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(4))))
