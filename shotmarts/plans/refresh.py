@@ -104,14 +104,16 @@ def load_plays(
 
 
 def load_players(house: Warehouse) -> None:
-    """Upsert of the newest rosters; players who left stay as they were."""
+    """Upsert of the landed rosters, the newest mention of a player wins; players who left stay as
+    they were."""
     docs = documents.read_documents(house.spark, house.landing.rosters, schemas.ROSTER_DOC)
-    newest = increments.newest_per_key(docs, ["team_abbrev"], [F.col("doc_ts").desc_nulls_last()])
     existing, version = tables.read_snapshot(
         house.spark, house.path("raw_players"), schemas.RAW_PLAYERS
     )
-    order = [F.col("ingested_at").desc_nulls_last(), F.col("team_abbrev").asc_nulls_last()]
-    merged = increments.upsert(existing, documents.flatten_roster(newest), ["player_id"], order)
+    batch = documents.flatten_roster(docs, carry=["doc_ts"])
+    order = [F.col("doc_ts").desc_nulls_last(), F.col("team_abbrev").asc_nulls_last()]
+    stored = existing.withColumn("doc_ts", F.lit(None).cast("timestamp"))
+    merged = increments.upsert(stored, batch, ["player_id"], order).drop("doc_ts")
     tables.write_snapshot(merged, house.path("raw_players"), version + 1)
 
 

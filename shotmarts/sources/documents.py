@@ -8,6 +8,7 @@ form Spark adds a test on the array below it, which parses the document once mor
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,10 +137,13 @@ def current_teams(docs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def flatten_roster(docs: DataFrame) -> DataFrame:
-    """Players of roster documents: forwards, defence and goalies as one row set."""
+def flatten_roster(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Players of roster documents: forwards, defence and goalies as one row set. ``carry`` names
+    envelope columns to keep."""
     groups = [F.coalesce(F.col(group), F.array()) for group in ROSTER_GROUPS]
-    slots = docs.select("team_abbrev", F.explode_outer(F.concat(*groups)).alias("p"))
+    slots = docs.select(
+        "team_abbrev", *carry, F.explode_outer(F.concat(*groups)).alias("p")
+    )
     players = slots.where(F.col("p").isNotNull())
     return with_ingested_at(
         players.select(
@@ -158,6 +162,7 @@ def flatten_roster(docs: DataFrame) -> DataFrame:
             F.col("p.birthCity.default").alias("birth_city"),
             F.col("p.birthCountry").alias("birth_country"),
             F.col("p.shootsCatches").alias("shoots_catches"),
+            *carry,
         )
     )
 
