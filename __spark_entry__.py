@@ -1,8 +1,8 @@
 """Entry points: flagship query, registered queries, and the SQL each of them must agree with.
 
-Every query runs for all keys over whole trial tables. Marts and staging queries are one lazy plan
-from the source files. Serving queries and checks read marts more than once, so these are stored
-first, as the refresh job does.
+Every query runs for all keys over whole trial tables, as one lazy plan from the source files where
+it reads each mart once. Marts that a query reads more than once are stored first, as the refresh
+job does.
 """
 
 from __future__ import annotations
@@ -43,8 +43,17 @@ def _lazy(run: Callable[[Marts], DataFrame]) -> Query:
     return _trial(lambda tables: run(Marts(tables)))
 
 
-def _stored(run: Callable[[Marts], DataFrame]) -> Query:
-    return _trial(lambda tables: run(Marts.stored(tables)))
+def _stored(run: Callable[[Marts], DataFrame], *names: str) -> Query:
+    return _trial(lambda tables: run(Marts.stored(tables, *names)))
+
+
+def _on_logs(run: Callable[[Marts], DataFrame]) -> Query:
+    """For queries on player game logs, which meet shots with team games."""
+    return _stored(run, "mart_shot_events", "mart_team_games")
+
+
+def _on_team_games(run: Callable[[Marts], DataFrame]) -> Query:
+    return _stored(run, "mart_team_games")
 
 
 # --- loads: documents are made as text, then parsed and flattened --------------------------------
@@ -244,15 +253,15 @@ def queries() -> dict[str, Query]:
         "team_season": _lazy(lambda m: m.team_season),
         # players
         "league_stats": _stored(
-            lambda m: serving.league_stats(m.player_shooting, m.shot_events)
+            lambda m: serving.league_stats(m.player_shooting, m.shot_events), "mart_shot_events"
         ),
         "leaderboard": _lazy(lambda m: serving.leaderboard(m.player_shooting, m.players)),
         "player_card": _lazy(lambda m: serving.player_card(m.player_shooting, m.players)),
         "percentile_scores": _lazy(lambda m: serving.percentile_scores(m.player_shooting)),
         "player_shots": _lazy(_map),
-        "player_game_log": _stored(_log),
-        "player_rolling_xg": _stored(lambda m: serving.player_rolling_xg(_log(m))),
-        "goal_games": _stored(lambda m: serving.goal_games(_log(m))),
+        "player_game_log": _on_logs(_log),
+        "player_rolling_xg": _on_logs(lambda m: serving.player_rolling_xg(_log(m))),
+        "goal_games": _on_logs(lambda m: serving.goal_games(_log(m))),
         "season_players": _lazy(lambda m: serving.season_players(m.player_shooting, m.players)),
         "teams_in_season": _lazy(lambda m: serving.teams_in_season(m.player_shooting, m.players)),
         "player_season_log": _lazy(lambda m: serving.player_season_log(m.player_shooting)),
@@ -276,17 +285,17 @@ def queries() -> dict[str, Query]:
                 "game_id", "shooter_id", "x_goal", "xg_display"
             )
         ),
-        "shot_labels": _stored(
+        "shot_labels": _on_logs(
             lambda m: serving.shot_labels(_map(m), _log(m)).select(
                 "game_id", "shooter_id", "season", "period", "time_in_period", "opponent",
                 "is_home", "date_label", "opponent_label",
             )
         ),
-        "shots_selected_games": _stored(
+        "shots_selected_games": _on_logs(
             lambda m: serving.shots_in_games(_map(m), _log(m).where(F.col("goals") >= 2))
         ),
         "shot_type_breakdown": _lazy(lambda m: serving.shot_type_breakdown(_map(m))),
-        "goal_clips": _stored(
+        "goal_clips": _on_logs(
             lambda m: serving.goal_clips(_map(m), _log(m)).select(
                 "shooter_id", "season", "game_id", "period", "time_in_period",
                 "highlight_clip_url", "game_num", "opponent", "is_home",
@@ -295,12 +304,12 @@ def queries() -> dict[str, Query]:
         "first_goal_clip": _lazy(lambda m: serving.first_goal_clip(_map(m))),
         # teams
         "team_card": _lazy(lambda m: serving.team_card(m.team_season)),
-        "team_game_log": _stored(_team_log),
-        "last_10_games": _stored(lambda m: serving.last_10_games(_team_log(m))),
-        "split_records": _stored(lambda m: serving.split_records(m.team_games)),
-        "team_rolling_xg_pct": _stored(lambda m: serving.team_rolling_xg_pct(_team_log(m))),
+        "team_game_log": _on_team_games(_team_log),
+        "last_10_games": _on_team_games(lambda m: serving.last_10_games(_team_log(m))),
+        "split_records": _on_team_games(lambda m: serving.split_records(m.team_games)),
+        "team_rolling_xg_pct": _on_team_games(lambda m: serving.team_rolling_xg_pct(_team_log(m))),
         "league_table": _lazy(lambda m: serving.league_table(m.team_season)),
-        "league_ranks": _stored(lambda m: serving.league_ranks(m.team_season)),
+        "league_ranks": _lazy(lambda m: serving.league_ranks(m.team_season)),
         "team_roster": _lazy(lambda m: serving.team_roster(m.player_shooting, m.players)),
         "team_names": _lazy(_team_names),
         # checks

@@ -27,9 +27,14 @@ class Marts:
         self.keep = keep
 
     @classmethod
-    def stored(cls, raw) -> Marts:
-        """Marts kept as staged tables, for queries that read one more than once."""
-        return cls(raw, keep=staged)
+    def stored(cls, raw, *names: str) -> Marts:
+        """Marts of which the named ones, or all, become staged tables: for those that a query
+        reads more than once."""
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            return staged(df, name) if not names or name in names else df
+
+        return cls(raw, keep=keep)
 
     @cached_property
     def stg_games(self) -> DataFrame:

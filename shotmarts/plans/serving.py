@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shotmarts.functions import labels as lb
@@ -448,20 +448,20 @@ def league_table(team_seasons: DataFrame, season: int | None = None) -> DataFram
 def league_ranks(team_seasons: DataFrame) -> DataFrame:
     """League place of each team in four rates, with ordinal and third of the table."""
     ranked = team_seasons.select(*TEAM_SEASON, "gf_per_game", "ga_per_game", "xg_diff_per_game", "sh_pct_sog")
-    sizes = team_seasons.groupBy("season").agg(F.count("*").alias("n_teams"))
     places = {
+        "n_teams": F.count("*").over(Window.partitionBy("season")),
         "gf_rank": league_rank("gf_per_game", ["season"]),
         "ga_rank": league_rank("ga_per_game", ["season"], ascending=True),
         "xg_diff_rank": league_rank("xg_diff_per_game", ["season"]),
         "sh_pct_rank": league_rank("sh_pct_sog", ["season"]),
     }
-    placed = ranked.withColumns(places).join(sizes, "season")
+    placed = ranked.withColumns(places)
     extras = {}
-    for name in places:
+    for name in [name for name in places if name.endswith("_rank")]:
         stem = name.removesuffix("_rank")
         extras[f"{stem}_place"] = lb.ordinal(F.col(name))
         extras[f"{stem}_tier"] = lb.rank_tier(F.col(name), F.col("n_teams"))
-    return placed.withColumns(extras).select(*TEAM_SEASON, "n_teams", *places, *extras)
+    return placed.withColumns(extras).select(*TEAM_SEASON, *places, *extras)
 
 
 def sort_roster(roster: DataFrame, by: str = "points") -> DataFrame:

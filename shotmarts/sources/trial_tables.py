@@ -197,6 +197,15 @@ STATS_COLUMNS = (
 SEASONS = (20232024, 20242025, 20252026)
 
 
+# Source columns in use, so that no file has to be opened to find the schema.
+SOURCES = {
+    "orders": "o_orderkey bigint",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+}
+
+
 def _apply(df: DataFrame, steps: list[Step]) -> DataFrame:
     for step in steps:
         df = df.selectExpr("*", *_named(step))
@@ -218,7 +227,7 @@ class TrialTables:
         """A source file. One that comes as fewer files than there are cores is spread over all
         of them, as its single row group would keep everything up to the first shuffle in one
         task; a table of many files is read as it is."""
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
         if spread_by and len(df.inputFiles()) < cores:
             return df.repartition(cores, *spread_by)
