@@ -39,6 +39,12 @@ def test_shots_meet_games_once(spark):
     assert plan.count("Join LeftOuter") == 2
 
 
+def test_team_tables_shuffle_shots_without_their_games(spark):
+    plan = registry.queries()["team_season"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2 and plan.count("o_orderkey#") > 0
+    assert plan.count("parquet") == 3
+
+
 def test_no_broadcast_hints():
     from pathlib import Path
 
