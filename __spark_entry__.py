@@ -27,6 +27,14 @@ from shotmarts.sources import documents, increments, schemas  # noqa: E402
 from shotmarts.sources import trial_documents as td  # noqa: E402
 from shotmarts.sources import trial_tables as tt  # noqa: E402
 
+try:  # the text operators may be left out of an installation, together with their pipeline
+    import corpus_pipeline
+    from shotmarts.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "shotmarts.llm"):
+        raise
+    corpus_pipeline = text_queries = None
+
 AS_OF = datetime.date(2023, 10, 20)
 STATS_YEAR = 2025
 NEWEST_SEASON = 20252026
@@ -181,8 +189,21 @@ def _checks(kind: str) -> Query:
     return _stored(lambda m: quality.run_checks(m, quality.of_kind(kind)))
 
 
+def _text_queries() -> dict[str, Query]:
+    if text_queries is None:
+        return {}
+    return text_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _text_sql() -> dict[str, str]:
+    if text_queries is None:
+        return {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} | text_queries.oracle_sql()
+    return {name: text for name, text in sql.items() if text is not None}
+
+
 def queries() -> dict[str, Query]:
-    return {
+    return _text_queries() | {
         # loads
         "ingest_games": _trial(_ingest_games),
         "append_new_games": _trial(_append_new_games),
@@ -322,7 +343,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements(AS_OF, STATS_YEAR)
+    return _text_sql() | statements(AS_OF, STATS_YEAR)
 
 
 def entry(spark: SparkSession) -> DataFrame:
