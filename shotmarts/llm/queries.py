@@ -1,0 +1,40 @@
+"""The registered queries of the text operators, over whole tables, and SQL for those it can express."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shotmarts.llm import packing, quality
+from shotmarts.llm.common import read
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(read(spark, folder, "documents"), _tokenizer(), 2048)
+    return packed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(read(spark, folder, "documents")).drop("row_id")
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "op5_best_fit_packing": _packing,
+        "op8_line_frequency_rules": _quality,
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
