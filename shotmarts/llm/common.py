@@ -114,9 +114,4 @@ def whole_text(text: Column | str = "text") -> Column:
 
 def word_count(text: Column | str = "text") -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; none for NULL."""
-    gaps = F.regexp_replace(whole_text(text), r"[^\x20\x09-\x0D]+", "x")
-    return F.length(F.translate(gaps, " \t\n\x0b\x0c\r", "")).cast("long")
-
-
-def split_words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split()
+    return F.regexp_count(whole_text(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")

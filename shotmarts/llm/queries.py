@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shotmarts.llm import packing, quality
+from shotmarts.llm import exact, languages, mixing, packing, quality, sharding, templates
 from shotmarts.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,39 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard(read(spark, folder, "documents"), 16)
+    checksum = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return placed.select(
+        "doc_id", F.col("shard_size").alias("size"), checksum.alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _templates(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.extract(read(spark, folder, "pages"))
+
+
+def _languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = languages.fit(docs.where(~languages.held_out()))
+    found = languages.identify(docs, model)
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def _exact(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact.classes(read(spark, folder, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def _mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, folder, "documents"))
+    first = F.round(F.try_element_at("positions", F.lit(1)), 9).alias("first_position")
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", "taken", first
+    ).orderBy("first_position", "doc_id")
+
+
 def _packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(read(spark, folder, "documents"), _tokenizer(), 2048)
     return packed.select(
@@ -31,6 +65,11 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_histogram_sort": _sharding,
+        "op2_site_templates": _templates,
+        "op4_ngram_filters": _languages,
+        "op6_extendible_hash": _exact,
+        "op9_curriculum_mix": _mixing,
         "op5_best_fit_packing": _packing,
         "op8_line_frequency_rules": _quality,
     }
