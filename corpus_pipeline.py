@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shotmarts.llm import common, packing, quality
+from shotmarts.llm import common, exact, mixing, ngram_join, packing, quality
 
 SIZE = 2048
 
@@ -21,6 +21,18 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact.deduplicate(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.stream(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,6 +43,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", rules),
+    ("exact dedup", copies),
+    ("n-gram Jaccard join", near_copies),
+    ("mixing to target weights", mix),
     ("best-fit packing", pack),
 ]
 

@@ -108,6 +108,22 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def chunks(
+    rows: list[dict], columns: tuple[str, ...] = ("text",), most: int = 8_000_000
+) -> Iterator[list[dict]]:
+    """Rows in order, so many at a time that their texts hold about ``most`` characters."""
+    held: list[dict] = []
+    total = 0
+    for row in rows:
+        held.append(row)
+        total += sum(len(row[c] or "") for c in columns)
+        if total >= most:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 def whole_text(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

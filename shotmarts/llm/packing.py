@@ -125,20 +125,6 @@ def cut(ids: bytes, size: int) -> Iterator[tuple[int, int, int, bytes]]:
         yield number, start // 4, len(part) // 4, part
 
 
-def chunks(rows: list[dict], most: int = 8_000_000) -> Iterator[list[dict]]:
-    """Rows in order, so many at a time that their texts hold about ``most`` characters."""
-    held: list[dict] = []
-    total = 0
-    for row in rows:
-        held.append(row)
-        total += len(row["text"] or "")
-        if total >= most:
-            yield held
-            held, total = [], 0
-    if held:
-        yield held
-
-
 def tokenize(docs: DataFrame, tokenizer: str, size: int, with_ids: bool = False) -> DataFrame:
     """A row per piece; with ``with_ids`` also its ids."""
     types = dict(docs.dtypes)
@@ -148,7 +134,7 @@ def tokenize(docs: DataFrame, tokenizer: str, size: int, with_ids: bool = False)
 
     def work(rows: list[dict]) -> Iterator[tuple]:
         encoder = token_bytes(tokenizer)
-        for chunk in chunks(rows):
+        for chunk in common.chunks(rows):
             encoded = encoder.of_texts([row["text"] or "" for row in chunk])
             for row, ids in zip(chunk, encoded, strict=True):
                 for number, start, length, part in cut(ids + end, size):

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotmarts.llm import exact, languages, mixing, packing, quality, sharding, templates
+from shotmarts.llm import (
+    exact,
+    languages,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    repeated_lines,
+    sharding,
+    templates,
+    winnowing,
+)
 from shotmarts.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +43,18 @@ def _templates(spark: SparkSession, folder: str) -> DataFrame:
     return templates.extract(read(spark, folder, "pages"))
 
 
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_lines.remove(read(spark, folder, "documents"))
+
+
+def _winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.remove(read(spark, folder, "documents"))
+
+
+def _join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similarity_components(read(spark, folder, "documents"))
+
+
 def _languages(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = languages.fit(docs.where(~languages.held_out()))
@@ -67,11 +90,14 @@ def queries() -> dict[str, Query]:
     return {
         "op1_histogram_sort": _sharding,
         "op2_site_templates": _templates,
+        "op3_line_hashing": _lines,
         "op4_ngram_filters": _languages,
-        "op6_extendible_hash": _exact,
-        "op9_curriculum_mix": _mixing,
         "op5_best_fit_packing": _packing,
+        "op6_extendible_hash": _exact,
+        "op7_winnowed_lines": _winnowing,
         "op8_line_frequency_rules": _quality,
+        "op9_curriculum_mix": _mixing,
+        "op10_ngram_jaccard": _join,
     }
 
 
