@@ -131,3 +131,8 @@ def whole_text(text: Column | str = "text") -> Column:
 def word_count(text: Column | str = "text") -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; none for NULL."""
     return F.regexp_count(whole_text(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+
+
+def split_words(text: str) -> list[bytes]:
+    """Words as UTF-8. ``bytes.split`` separates at exactly the white space meant here."""
+    return text.encode("utf-8", "surrogatepass").split()
