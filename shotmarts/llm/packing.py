@@ -251,7 +251,6 @@ def pack(
     while count > 1:
         number += 1
         groups = max(-(-groups // fan_in), -(-count // block))
-        # Rounds over a single group see all that is open; so do later ones only if bins merged.
         merged = ws.store(_packed(level.repartition(groups), size, block), f"round-{number}")
         moves.append(merged)
         level = merged.groupBy("bin").agg(F.max("fill").alias("length")).where(
@@ -264,10 +263,12 @@ def pack(
 
     placed = first.select("item", F.lit(0).alias("round"), "bin", "offset")
     for number, merged in enumerate(moves, 1):
+        # Bins are numbered anew in every round; those of the round before are its items.
         up = merged.select(
-            F.col("item").alias("bin"), F.col("bin").alias("next"), F.col("offset").alias("by")
+            F.lit(number - 1).alias("round"), F.col("item").alias("bin"),
+            F.col("bin").alias("next"), F.col("offset").alias("by"),
         )
-        placed = placed.join(up, "bin", "left").select(
+        placed = placed.join(up, ["round", "bin"], "left").select(
             "item",
             F.when(F.col("next").isNull(), F.col("round")).otherwise(number).alias("round"),
             F.coalesce("next", "bin").alias("bin"),

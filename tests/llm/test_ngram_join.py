@@ -58,7 +58,7 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize(
-    "join", [Join(), Join(hot=2), Join(hot=3, whole=10), Join(hot=4, whole=40, head=2)], ids=str
+    "join", [Join(), Join(hot=3, whole=10)], ids=str
 )
 def test_like_comparing_all_pairs(spark, join):
     rows = corpus(1)
