@@ -1,8 +1,7 @@
 """Entry points: flagship query, registered queries, and the SQL each of them must agree with.
 
-Every query runs for all keys over whole trial tables, as one lazy plan from the source files where
-it reads each mart once. Marts that a query reads more than once are stored first, as the refresh
-job does.
+Every query runs over whole trial tables as one lazy plan from the source files; queries for one
+player or team narrow that plan. The exceptions are named in their docstrings.
 """
 
 from __future__ import annotations
@@ -51,19 +50,6 @@ def _lazy(run: Callable[[Marts], DataFrame]) -> Query:
     return _trial(lambda tables: run(Marts(tables)))
 
 
-def _stored(run: Callable[[Marts], DataFrame], *names: str) -> Query:
-    return _trial(lambda tables: run(Marts.stored(tables, *names)))
-
-
-def _on_logs(run: Callable[[Marts], DataFrame]) -> Query:
-    """For queries on player game logs, which meet shots with team games."""
-    return _stored(run, "mart_shot_events", "mart_team_games")
-
-
-def _on_team_games(run: Callable[[Marts], DataFrame]) -> Query:
-    return _stored(run, "mart_team_games")
-
-
 # --- loads: documents are made as text, then parsed and flattened --------------------------------
 
 
@@ -80,7 +66,7 @@ def _ingest_games(t: tt.TrialTables) -> DataFrame:
 
 
 def _append_new_games(t: tt.TrialTables) -> DataFrame:
-    games = t.raw_games().select("game_id", "season")
+    games = t.raw_games().select(*tt.GAME_COLUMNS)
     stored = games.where(F.col("season") < NEWEST_SEASON).withColumn("origin", F.lit("stored"))
     return increments.append_new(stored, games.withColumn("origin", F.lit("new")), ["game_id"])
 
@@ -114,17 +100,16 @@ def _unprocessed_games(t: tt.TrialTables) -> DataFrame:
 
 def _upsert_players(t: tt.TrialTables) -> DataFrame:
     """Skaters are stored; rosters then bring every player of a club twice, the later one wins."""
-    people = t.raw_players().select("player_id", "team_abbrev", "sweater_number", "position")
+    people = t.raw_players().select(*tt.PLAYER_COLUMNS)
     stored = people.where(F.col("position") != "G").withColumn("version", F.lit(0))
     versions = F.explode(F.array(F.lit(1), F.lit(2)))
     batch = people.where(F.col("team_abbrev").isNotNull()).withColumn("version", versions)
     batch = batch.withColumn("sweater_number", F.col("sweater_number") + F.col("version"))
-    merged = increments.upsert(stored, batch, ["player_id"], [F.col("version").desc()])
-    return merged.select("player_id", "team_abbrev", "sweater_number")
+    return increments.upsert(stored, batch, ["player_id"], [F.col("version").desc()]).drop("version")
 
 
 def _replace_season(t: tt.TrialTables) -> DataFrame:
-    lines = t.raw_player_stats().select("player_id", "season_id", "goals")
+    lines = t.raw_player_stats().select(*tt.STATS_COLUMNS)
     fresh = lines.withColumn("goals", F.col("goals") + 1)
     return increments.replace_partition(lines, fresh, "season_id", [REPLACED_SEASON])
 
@@ -174,7 +159,9 @@ def _team_names(m: Marts) -> DataFrame:
 
 
 def _log(m: Marts) -> DataFrame:
-    return serving.player_game_log(m.shot_events, m.team_games)
+    """The log needs opponent, venue and date of a team game, which its two sides have without any
+    shots being added up."""
+    return serving.player_game_log(m.shot_events, teams.team_perspective(m.stg_games))
 
 
 def _map(m: Marts) -> DataFrame:
@@ -186,7 +173,7 @@ def _team_log(m: Marts) -> DataFrame:
 
 
 def _checks(kind: str) -> Query:
-    return _stored(lambda m: quality.run_checks(m, quality.of_kind(kind)))
+    return _lazy(lambda m: quality.run_checks(m, quality.of_kind(kind)))
 
 
 def _text_queries() -> dict[str, Query]:
@@ -273,16 +260,14 @@ def queries() -> dict[str, Query]:
         "team_games": _lazy(lambda m: m.team_games),
         "team_season": _lazy(lambda m: m.team_season),
         # players
-        "league_stats": _stored(
-            lambda m: serving.league_stats(m.player_shooting, m.shot_events), "mart_shot_events"
-        ),
+        "league_stats": _lazy(lambda m: serving.league_stats(m.player_shooting, m.shot_events)),
         "leaderboard": _lazy(lambda m: serving.leaderboard(m.player_shooting, m.players)),
         "player_card": _lazy(lambda m: serving.player_card(m.player_shooting, m.players)),
         "percentile_scores": _lazy(lambda m: serving.percentile_scores(m.player_shooting)),
         "player_shots": _lazy(_map),
-        "player_game_log": _on_logs(_log),
-        "player_rolling_xg": _on_logs(lambda m: serving.player_rolling_xg(_log(m))),
-        "goal_games": _on_logs(lambda m: serving.goal_games(_log(m))),
+        "player_game_log": _lazy(_log),
+        "player_rolling_xg": _lazy(lambda m: serving.player_rolling_xg(_log(m))),
+        "goal_games": _lazy(lambda m: serving.goal_games(_log(m))),
         "season_players": _lazy(lambda m: serving.season_players(m.player_shooting, m.players)),
         "teams_in_season": _lazy(lambda m: serving.teams_in_season(m.player_shooting, m.players)),
         "player_season_log": _lazy(lambda m: serving.player_season_log(m.player_shooting)),
@@ -306,17 +291,17 @@ def queries() -> dict[str, Query]:
                 "game_id", "shooter_id", "x_goal", "xg_display"
             )
         ),
-        "shot_labels": _on_logs(
+        "shot_labels": _lazy(
             lambda m: serving.shot_labels(_map(m), _log(m)).select(
                 "game_id", "shooter_id", "season", "period", "time_in_period", "opponent",
                 "is_home", "date_label", "opponent_label",
             )
         ),
-        "shots_selected_games": _on_logs(
+        "shots_selected_games": _lazy(
             lambda m: serving.shots_in_games(_map(m), _log(m).where(F.col("goals") >= 2))
         ),
         "shot_type_breakdown": _lazy(lambda m: serving.shot_type_breakdown(_map(m))),
-        "goal_clips": _on_logs(
+        "goal_clips": _lazy(
             lambda m: serving.goal_clips(_map(m), _log(m)).select(
                 "shooter_id", "season", "game_id", "period", "time_in_period",
                 "highlight_clip_url", "game_num", "opponent", "is_home",
@@ -325,10 +310,10 @@ def queries() -> dict[str, Query]:
         "first_goal_clip": _lazy(lambda m: serving.first_goal_clip(_map(m))),
         # teams
         "team_card": _lazy(lambda m: serving.team_card(m.team_season)),
-        "team_game_log": _on_team_games(_team_log),
-        "last_10_games": _on_team_games(lambda m: serving.last_10_games(_team_log(m))),
-        "split_records": _on_team_games(lambda m: serving.split_records(m.team_games)),
-        "team_rolling_xg_pct": _on_team_games(lambda m: serving.team_rolling_xg_pct(_team_log(m))),
+        "team_game_log": _lazy(_team_log),
+        "last_10_games": _lazy(lambda m: serving.last_10_games(_team_log(m))),
+        "split_records": _lazy(lambda m: serving.split_records(m.team_games)),
+        "team_rolling_xg_pct": _lazy(lambda m: serving.team_rolling_xg_pct(_team_log(m))),
         "league_table": _lazy(lambda m: serving.league_table(m.team_season)),
         "league_ranks": _lazy(lambda m: serving.league_ranks(m.team_season)),
         "team_roster": _lazy(lambda m: serving.team_roster(m.player_shooting, m.players)),

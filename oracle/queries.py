@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 
 from oracle.tables import ZERO, davg, rnd, with_tables
-from shotmarts.plans import quality
 
 RANGE = "rows between {n} preceding and current row"
 
@@ -68,35 +67,97 @@ def _records(prefix: str, scope: str) -> str:
     )
 
 
-_CHECKED = {
-    "stg_players": "stg_players", "stg_games": "stg_games", "stg_plays": "stg_plays",
-    "stg_player_stats": "stg_player_stats", "stg_xg": "stg_xg", "int_shot_events": "int_shots",
-    "shot_events": "mart_shots", "player_shooting": "mart_player_shooting",
-    "team_season": "mart_team_season", "players": "mart_players", "team_games": "mart_team_games",
+# The rules, written down here on their own, by table name and table read.
+_READ = {
+    "int_shot_events": "int_shots", "shot_events": "mart_shots", "team_season": "mart_team_season",
+    "player_shooting": "mart_player_shooting", "players": "mart_players", "team_games": "mart_team_games",
+}
+_FILLED = {
+    "stg_players": "player_id", "stg_games": "game_id game_date", "stg_plays": "game_id event_id",
+    "stg_player_stats": "player_id season", "stg_xg": "shooter_id x_goal",
+    "int_shot_events": "game_id event_id shooter_id period",
+    "shot_events": "event_id_pk game_id shooter_id season game_date",
+    "player_shooting": "shooter_id season", "team_season": "season team_abbrev games_played",
+    "players": "player_id full_name", "team_games": "season game_id game_date team_abbrev",
+}
+_SINGLE = {
+    "stg_players": "player_id", "stg_games": "game_id", "shot_events": "event_id_pk", "players": "player_id",
+}
+_TOGETHER = {
+    "stg_plays": "game_id,event_id", "stg_player_stats": "player_id,season",
+    "int_shot_events": "game_id,event_id", "player_shooting": "shooter_id,season",
+    "team_season": "season,team_abbrev", "team_games": "game_id,team_abbrev",
+}
+_EVENTS = "goal shot-on-goal missed-shot blocked-shot"
+_LISTED = [
+    ("stg_plays", "event_type", _EVENTS), ("int_shot_events", "event_type", _EVENTS),
+    ("shot_events", "event_type", _EVENTS), ("shot_events", "strength", "5v5 PP/SH 4v4 3v3 EN other"),
+    ("team_games", "result", "W L OTL"),
+]
+#: Table, column, least and greatest value.
+_RANGES = [
+    ("stg_player_stats", "goals", 0, None), ("stg_player_stats", "shooting_pct", 0, 100),
+    ("stg_xg", "x_goal", 0, 1), ("int_shot_events", "period", 1, 5), ("int_shot_events", "x_goal", 0, 1),
+    ("shot_events", "period", 1, 5), ("shot_events", "x_goal", 0, 1), ("player_shooting", "sh_pct", 0, 100),
+    ("player_shooting", "goals_per_game_pctile", 0, 1), ("player_shooting", "xg_per_game_pctile", 0, 1),
+    ("player_shooting", "sh_pct_pctile", 0, 1), ("player_shooting", "avg_xg_per_shot_pctile", 0, 1),
+    ("player_shooting", "rebound_shot_pct_pctile", 0, 1), ("player_shooting", "shot_distance_pctile", 0, 1),
+    ("player_shooting", "goals_above_expected_pctile", 0, 1), ("team_season", "wins", 0, None),
+    ("team_season", "losses", 0, None), ("team_season", "otl", 0, None),
+]
+#: Ranges over the rows with a value only; the others count all rows.
+_WITH_VALUE = {
+    ("stg_player_stats", "shooting_pct"), ("int_shot_events", "x_goal"), ("shot_events", "x_goal"),
+    ("player_shooting", "sh_pct"),
 }
 
 
-def _check(check: quality.Check) -> str:
-    table, columns = _CHECKED[check.table], check.label
-    head = (
-        f"select '{check.kind}' as check_name, '{check.table}' as table_name,"
-        f" '{columns}' as column_name, "
+def _verdict(kind: str, table: str, columns: str, failures: str, total: str, source: str = "") -> str:
+    return (
+        f"select '{kind}' as check_name, '{table}' as table_name, '{columns}' as column_name,"
+        f" cast({failures} as bigint) as failures, cast({total} as bigint) as total"
+        f" from {source or _READ.get(table, table)}"
     )
-    if check.failing is not None:
-        scope = f" where {check.where}" if check.where else ""
-        return head + (
-            f"count(*) filter ({check.failing}) as failures, count(*) as total from {table}{scope}"
+
+
+def _filled() -> list[str]:
+    return [
+        _verdict("not_null", t, c, f"count(*) - count({c})", "count(*)")
+        for t, columns in _FILLED.items()
+        for c in columns.split()
+    ]
+
+
+def _repeated(kind: str, keys: dict[str, str], scope: str) -> list[str]:
+    """Keys that occur more than once, found by counting within their own group."""
+    found = []
+    for table, key in keys.items():
+        rows = (
+            f"(select count(*) over (partition by {key}) as n, row_number() over (partition by {key}) as k"
+            f" from {_READ.get(table, table)} {scope.format(key=key)})"
         )
-    scope = f" where {columns} is not null" if check.kind == quality.UNIQUE else ""
-    return head + (
-        "count(*) filter (n > 1) as failures, cast(coalesce(sum(n), 0) as bigint) as total from"
-        f" (select count(*) as n from {table}{scope} group by {columns})"
-    )
+        found.append(_verdict(kind, table, key, "count(*) filter (n > 1 and k = 1)", "count(*)", rows))
+    return found
+
+
+def _listed() -> list[str]:
+    return [
+        _verdict("accepted_values", t, c, f"count(*) filter (not list_contains({v.split()}, {c}))", "count(*)")
+        for t, c, v in _LISTED
+    ]
+
 
+def _ranges() -> list[str]:
+    found = []
+    for table, column, least, most in _RANGES:
+        outside = f"{column} < {least}" + (f" or {column} > {most}" if most is not None else "")
+        total = f"count({column})" if (table, column) in _WITH_VALUE else "count(*)"
+        found.append(_verdict("expression_is_true", table, column, f"count(*) filter ({outside})", total))
+    return found
 
-def _checks(kind: str) -> str:
-    return " union all ".join(_check(check) for check in quality.of_kind(kind))
 
+def _all(parts: list[str]) -> str:
+    return " union all ".join(parts)
 
 _KNOWN = "case when cast(substring(team_abbrev, 2) as integer) % 2 = 0 then 'Team ' || substring(team_abbrev, 2) end"
 _CLIP = "event_type = 'goal' and highlight_clip_url is not null and highlight_clip_url <> ''"
@@ -111,7 +172,7 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
         # loads
         "ingest_games": f"select {_GAME} from raw_games where home_score is not null",
         "append_new_games": """
-            select game_id, season, case when season < 20252026 then 'stored' else 'new' end as origin
+            select *, case when season < 20252026 then 'stored' else 'new' end as origin
             from raw_games""",
         "ingest_plays": "select * from raw_plays",
         "ingest_plays_raw_json": """
@@ -127,16 +188,15 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
                 select 1 from raw_plays p where p.game_id = g.game_id and p.season < 20252026)""",
         "ingest_roster": "select * from raw_players",
         "upsert_players": """
-            select player_id, team_abbrev,
+            select * replace (
                 case when team_abbrev is null then sweater_number else sweater_number + 2 end
-                    as sweater_number
+                    as sweater_number)
             from raw_players where position <> 'G' or team_abbrev is not null""",
         "ingest_skater_stats": """
             select * replace (coalesce(team_abbrev, '') as team_abbrev,
                 nullif(shooting_pct, 0) as shooting_pct) from raw_player_stats""",
         "replace_season": """
-            select player_id, season_id,
-                case when season_id = 20242025 then goals + 1 else goals end as goals
+            select * replace (if(season_id = 20242025, goals + 1, goals)::integer as goals)
             from raw_player_stats""",
         "seasons_to_refresh": f"""
             select distinct season from raw_plays where season not in (
@@ -260,10 +320,10 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
                 coalesce(strftime(s.game_date, '%b %d'), '—') as date_label,
                 case when l.is_home is null or l.is_home then 'vs ' else 'at ' end
                     || coalesce(l.opponent, '—') as opponent_label
-            from map_shots s left join player_log l
-                on l.shooter_id = s.shooter_id and l.season = s.season and l.game_id = s.game_id""",
+            from map_shots s left join player_log l using (shooter_id, season, game_id, team_id)""",
         "shots_selected_games": """
-            select * from map_shots where game_id in (select game_id from player_log where goals >= 2)""",
+            select * from map_shots where (shooter_id, season, game_id) in (
+                select (shooter_id, season, game_id) from player_log where goals >= 2)""",
         "shot_type_breakdown": f"""
             select shooter_id, season, shot_type, shots, goals,
                 round_even(goals::double / shots * 100, 1) + {ZERO} as sh_pct,
@@ -275,8 +335,7 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
         "goal_clips": f"""
             select s.shooter_id, s.season, s.game_id, s.period, s.time_in_period,
                 s.highlight_clip_url, l.game_num, l.opponent, l.is_home
-            from map_shots s left join player_log l
-                on l.shooter_id = s.shooter_id and l.season = s.season and l.game_id = s.game_id
+            from map_shots s left join player_log l using (shooter_id, season, game_id, team_id)
             where {_CLIP}""",
         "first_goal_clip": f"""
             select shooter_id, season, game_id, highlight_clip_url as clip_url
@@ -321,10 +380,10 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
             select team_abbrev, season, coalesce({_KNOWN}, team_abbrev) as team_name
             from mart_team_season""",
         # checks
-        "dq_not_null": _checks(quality.NOT_NULL),
-        "dq_unique": _checks(quality.UNIQUE),
-        "dq_unique_combo": _checks(quality.UNIQUE_COMBO),
-        "dq_accepted": _checks(quality.ACCEPTED),
-        "dq_expression": _checks(quality.EXPRESSION),
+        "dq_not_null": _all(_filled()),
+        "dq_unique": _all(_repeated("unique", _SINGLE, "where {key} is not null")),
+        "dq_unique_combo": _all(_repeated("unique_combination", _TOGETHER, "")),
+        "dq_accepted": _all(_listed()),
+        "dq_expression": _all(_ranges()),
     }
     return {name: with_tables(sql) for name, sql in queries.items()}

@@ -37,12 +37,25 @@ def percent_ranks(
     looks its rank up. Only distinct values are ever sorted.
     """
     rows = staged(df, "ranked-rows")
-    ranks = staged(_rank_table(rows, by, metrics, digits, span), "rank-table")
-    for name, metric in metrics.items():
-        own = ranks.where(F.col("metric") == name).select(by, "grid", F.col("pct_rank").alias(name))
-        keyed = rows.withColumn("grid", _grid(metric))
-        rows = join_null_safe(keyed, own, [by, "grid"], "left").drop("grid")
-    return rows
+    own = F.struct(*df.columns)
+    # One row per metric; the first also carries the ranked row itself, so one join serves all.
+    cells = [
+        F.struct(
+            F.lit(name).alias("metric"),
+            _grid(metric).alias("grid"),
+            F.when(F.lit(i == 0), own).alias("row"),
+        )
+        for i, (name, metric) in enumerate(metrics.items())
+    ]
+    ranks = _rank_table(rows, by, metrics, digits, span)
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    spread = numbered.select("_row", by, F.inline(F.array(*cells)))
+    ranked = join_null_safe(spread, ranks, [by, "metric", "grid"], "left")
+    columns = [
+        F.max(F.when(F.col("metric") == name, F.col("pct_rank"))).alias(name) for name in metrics
+    ]
+    gathered = ranked.groupBy("_row").agg(F.first("row", ignorenulls=True).alias("row"), *columns)
+    return gathered.select("row.*", *metrics)
 
 
 def _grid(metric: Metric) -> Column:

@@ -52,6 +52,13 @@ def number_rows(
     )
 
 
+def number_few(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """``row_number`` of each key in one sort, for keys that have few rows by nature, such as the
+    games of one player or club in a season."""
+    within = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return df.withColumn(name, F.row_number().over(within).cast("bigint"))
+
+
 def sum_before(column: str, ordered: WindowSpec) -> Column:
     """Sum over the rows ahead of the current one; 0 for the first."""
     preceding = ordered.rowsBetween(Window.unboundedPreceding, -1)

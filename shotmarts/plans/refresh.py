@@ -97,10 +97,9 @@ def load_plays(
     docs = documents.read_documents(spark, landing.plays, schemas.PLAYS_DOC)
     # The season is the one the schedule gives.
     docs = docs.drop("season").join(wanted.withColumnRenamed("game_id", "id"), "id")
-    newest = docs.groupBy("id").agg(
-        F.max_by(F.struct("season", "plays"), "doc_ts").alias("doc")
-    ).select("id", "doc.*")
-    tables.write_games(documents.flatten_plays(newest), house.path("raw_plays"))
+    events = documents.flatten_plays(increments.newest_documents(docs, "id"))
+    events = events.dropDuplicates(["game_id", "event_id"])
+    tables.write_games(events, house.path("raw_plays"))
 
 
 def load_players(house: Warehouse) -> None:
@@ -123,9 +122,9 @@ def load_skater_stats(house: Warehouse, year: int) -> None:
     docs = documents.read_documents(
         house.spark, house.landing.skater_stats, schemas.SKATER_STATS_DOC
     )
-    newest = increments.newest_per_key(docs, ["season_id"], [F.col("doc_ts").desc_nulls_last()])
-    chosen = newest.join(wanted.withColumnRenamed("season", "season_id"), "season_id", "left_semi")
-    lines = documents.flatten_skater_stats(chosen)
+    chosen = docs.join(wanted.withColumnRenamed("season", "season_id"), "season_id", "left_semi")
+    newest = increments.newest_documents(chosen, "season_id")
+    lines = documents.flatten_skater_stats(newest).dropDuplicates(["season_id", "player_id"])
     tables.overwrite_partitions(lines, house.path("raw_player_stats"), ["season_id"])
 
 

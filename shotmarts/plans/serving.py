@@ -32,7 +32,7 @@ from shotmarts.operators.joins import lookup, narrow
 from shotmarts.operators.ranks import league_rank
 from shotmarts.operators.windows import (
     last_n,
-    number_rows,
+    number_few,
     rolling_mean,
     share_of_total,
     top_n,
@@ -160,8 +160,8 @@ def player_shots(
     return chosen.where(
         F.col("shooter_id").isNotNull() & F.col("x_coord").isNotNull() & F.col("y_coord").isNotNull()
     ).select(
-        *PLAYER_SEASON, "game_id", "game_date", "event_type", "shot_type", "x_coord", "y_coord",
-        "net_x", "shot_distance", "shot_angle", "x_goal", "strength", "period", "time_in_period",
+        *PLAYER_SEASON, "game_id", "team_id", "game_date", "event_type", "shot_type", "x_coord",
+        "y_coord", "net_x", "shot_distance", "shot_angle", "x_goal", "strength", "period", "time_in_period",
         "is_rush", "is_rebound", "highlight_clip_url",
     )
 
@@ -200,7 +200,7 @@ def player_game_log(
     """Numbered games of a player season."""
     chosen = narrow(shots, shooter_id=player, season=season)
     log = with_opponent(player_games(chosen), narrow(team_games, season=season))
-    numbered = number_rows(log, PLAYER_SEASON, "game_id", "game_num", tiebreak=("team_id",))
+    numbered = number_few(log, PLAYER_SEASON, ["game_id", "team_id"], "game_num")
     return _ordered(
         numbered.select(
             *PLAYER_SEASON, "game_id", "team_id", "game_num", "shots", "goals", "xg", "opponent",
@@ -302,8 +302,8 @@ def with_display_xg(shots: DataFrame) -> DataFrame:
 
 
 def attach_log(shots: DataFrame, log: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Left join of game-log columns on player, season and game."""
-    on = [*PLAYER_SEASON, "game_id"]
+    """Left join of game-log columns on player, season, game and team: one row per shot."""
+    on = [*PLAYER_SEASON, "game_id", "team_id"]
     return shots.join(log.select(*on, *columns), on, "left")
 
 
@@ -319,8 +319,9 @@ def shot_labels(shots: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def shots_in_games(shots: DataFrame, games: DataFrame) -> DataFrame:
-    """Shots of the given games."""
-    return shots.join(games.select("game_id"), "game_id", "left_semi")
+    """A player's shots of the games chosen from that player's log."""
+    on = [*PLAYER_SEASON, "game_id"]
+    return shots.join(games.select(*on), on, "left_semi")
 
 
 def shot_type_breakdown(
@@ -389,7 +390,7 @@ def team_game_log(
 ) -> DataFrame:
     """Numbered games of a team season, all game types."""
     chosen = narrow(team_games, team_abbrev=team, season=season)
-    numbered = number_rows(chosen, TEAM_SEASON, "game_id", "game_num")
+    numbered = number_few(chosen, TEAM_SEASON, ["game_id"], "game_num")
     log = numbered.select(
         *TEAM_SEASON, "game_id", "game_num", "game_date",
         F.col("opponent_abbrev").alias("opponent"), "is_home", "gf", "ga",

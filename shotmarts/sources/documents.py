@@ -21,15 +21,18 @@ FINISHED = "OFF"
 ROSTER_GROUPS = ("forwards", "defensemen", "goalies")
 LOOKBACK_DAYS = 3
 
+STRICT = {"mode": "FAILFAST"}
+
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Landed documents, one JSON object per line, read with a fixed schema."""
-    return spark.read.schema(schema).json(path)
+    """Landed documents, one JSON object per line, read with a fixed schema. A malformed one ends
+    the load: read on as NULLs, it would be taken for a document without games or players."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def parse_documents(texts: DataFrame, column: str, schema: str) -> DataFrame:
     """Documents held as text in a column, parsed with a fixed schema."""
-    return texts.select(F.from_json(column, schema).alias("doc")).select("doc.*")
+    return texts.select(F.from_json(column, schema, STRICT).alias("doc")).select("doc.*")
 
 
 def read_xg(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -88,10 +91,18 @@ def flatten_schedule(docs: DataFrame) -> DataFrame:
 def completed_games(
     docs: DataFrame, as_of: datetime.date, lookback_days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    """Finished games of the schedules asked for within the look-back: one season per id."""
+    """Finished games of the look-back: one season per id.
+
+    A document lists a week of games, so it is the game's own day that counts. Documents asked for
+    more than a week before the look-back cannot list such a game and are left out at the scan.
+    """
     since = as_of - datetime.timedelta(days=lookback_days)
-    recent = docs.where(F.col("schedule_date").between(F.lit(since), F.lit(as_of)))
-    finished = _scheduled_games(recent).where(F.col("game.gameState") == FINISHED)
+    week = since - datetime.timedelta(days=7)
+    near = docs.where(F.coalesce(F.col("schedule_date") >= F.lit(week), F.lit(True)))
+    day = F.substring("game.startTimeUTC", 1, 10).cast("date")
+    finished = _scheduled_games(near).where(
+        (F.col("game.gameState") == FINISHED) & day.between(F.lit(since), F.lit(as_of))
+    )
     return finished.groupBy(_required(F.col("game.id"), "game id").alias("game_id")).agg(
         F.max_by("game.season", "seen").alias("season")
     )
@@ -100,7 +111,7 @@ def completed_games(
 def flatten_plays(docs: DataFrame) -> DataFrame:
     """Shot events of play-by-play documents, each with its own payload kept as text."""
     plays = docs.select("id", "season", F.explode_outer("plays").alias("raw"))
-    parsed = plays.withColumn("play", F.from_json("raw", schemas.PLAY))
+    parsed = plays.withColumn("play", F.from_json("raw", schemas.PLAY, STRICT))
     shots = parsed.where(F.col("play.typeDescKey").isin(*SHOT_EVENTS))
     details = F.col("play.details")
     scorer = F.nullif(details["scoringPlayerId"], F.lit(0))

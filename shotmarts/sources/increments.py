@@ -31,6 +31,14 @@ def newest_per_key(batch: DataFrame, keys: Sequence[str], order_by: Sequence[Col
     return batch.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
 
 
+def newest_documents(docs: DataFrame, key: str) -> DataFrame:
+    """All documents of a key that carry its newest stamp: the pages of one answer. Only keys and
+    stamps are shuffled."""
+    stamps = docs.groupBy(F.col(key).alias("_key")).agg(F.max("doc_ts").alias("_newest"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("doc_ts").eqNullSafe(F.col("_newest"))
+    return docs.join(stamps, same).drop("_key", "_newest")
+
+
 def upsert(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 ) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -13,21 +11,10 @@ from pyspark.sql import functions as F
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it gets a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="shotmarts-")
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; beside the tables where it
+    names none."""
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_staging"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -35,13 +22,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
     For results that several branches of one plan need: they are computed once, survive lost
     executors, and are read with column pruning. Their size is then known from the files, so
-    that Spark's own broadcast threshold decides on joins with them.
+    that Spark's own broadcast threshold decides on joins with them. They go with the session.
     """
     path = f"{staging_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    where, fs = _file_system(df.sparkSession, path)
+    fs.deleteOnExit(where)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def materialise(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
 ) -> DataFrame:

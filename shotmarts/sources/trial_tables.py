@@ -223,15 +223,8 @@ class TrialTables:
         self.spark = spark
         self.folder = folder
 
-    def _source(self, name: str, *spread_by: str) -> DataFrame:
-        """A source file. One that comes as fewer files than there are cores is spread over all
-        of them, as its single row group would keep everything up to the first shuffle in one
-        task; a table of many files is read as it is."""
-        df = self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if spread_by and len(df.inputFiles()) < cores:
-            return df.repartition(cores, *spread_by)
-        return df
+    def _source(self, name: str) -> DataFrame:
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def raw_games(self) -> DataFrame:
         seqs = self._source("orders").select(F.expr(_game_steps("o_orderkey")[0]["seq"]).alias("seq"))
@@ -244,7 +237,7 @@ class TrialTables:
     def _plays(self) -> DataFrame:
         """The columns the rules use are never NULL; saying so shortens the generated code."""
         present = " and ".join(f"{c} is not null" for c in PLAY_SOURCE)
-        return _apply(self._source("lineitem", "l_orderkey", "l_linenumber").where(present), PLAYS)
+        return _apply(self._source("lineitem").where(present), PLAYS)
 
     def raw_plays(self) -> DataFrame:
         stamp = F.lit(None).cast("timestamp")

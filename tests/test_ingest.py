@@ -48,12 +48,39 @@ def test_schedule(spark, tmp_path):
 def test_completed_games_look_back(spark, tmp_path):
     frame = landed(
         spark, tmp_path, schemas.SCHEDULE_DOC,
-        schedule("2025-01-11", game(1, "OFF"), game(2, "LIVE"), day="2025-01-08"),
-        schedule("2025-01-12", game(1, "OFF", season=20252026), day="2025-01-10"),
-        schedule("2025-01-12", game(4, "OFF"), day="2025-01-06"),
+        schedule("2025-01-11", played(1, "08"), game(2, "LIVE", startTimeUTC="2025-01-09T00:00:00Z")),
+        schedule("2025-01-12", played(1, "08", season=20252026), played(3, "11"), game(5, "OFF")),
+        schedule("2025-01-12", played(4, "06"), played(6, "07"), day="2025-01-06"),
+        # A week's document asked for long before the game it lists.
+        schedule("2025-01-09", played(7, "09"), day="2025-01-04"),
     )
     got = docs.completed_games(frame, datetime.date(2025, 1, 10)).collect()
-    assert [tuple(r) for r in got] == [(1, 20252026)]
+    assert sorted(tuple(r) for r in got) == [(1, 20252026), (6, 20242025), (7, 20242025)]
+
+
+def played(number, day, **fields):
+    return game(number, "OFF", **{"startTimeUTC": f"2025-01-{day}T23:00:00Z", **fields})
+
+
+@pytest.mark.parametrize("text", ['{"doc_ts": "2025-01-10T00:00:00Z", "gameWeek": [', '{\n  "gameWeek": []\n}', "oops"])
+def test_malformed_documents_end_the_load(spark, tmp_path, text):
+    path = tmp_path / "landed.json"
+    path.write_text(json.dumps(schedule("2025-01-10", played(1, "09"))) + "\n" + text)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        docs.flatten_schedule(docs.read_documents(spark, str(path), schemas.SCHEDULE_DOC)).collect()
+
+
+def test_malformed_plays_end_the_load(spark):
+    plays = spark.createDataFrame([(1, 20242025, ['{"eventId": 1}', '{"eventId": '])], "id long, season int, plays array<string>")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        docs.flatten_plays(plays).collect()
+
+
+def test_all_pages_of_the_newest_answer_count(spark):
+    rows = [("2025-01-02", 1, "a"), ("2025-01-02", 1, "b"), ("2025-01-01", 1, "old"), (None, 2, "c")]
+    pages = spark.createDataFrame(rows, "doc_ts string, season_id int, page string")
+    got = increments.newest_documents(pages, "season_id")
+    assert sorted(r.page for r in got.collect()) == ["a", "b", "c"] and got.columns == pages.columns
 
 
 def test_plays(spark, tmp_path):
