@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import datetime
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -21,8 +22,9 @@ from shotmarts.functions import labels as lb  # noqa: E402
 from shotmarts.functions import shots as fn  # noqa: E402
 from shotmarts.plans import players, quality, serving, shots, teams  # noqa: E402
 from shotmarts.plans.marts import Marts  # noqa: E402
+from shotmarts.plans.refresh import LAYOUT  # noqa: E402
 from shotmarts.session import tune  # noqa: E402
-from shotmarts.sources import documents, increments, schemas  # noqa: E402
+from shotmarts.sources import documents, increments, schemas, tables  # noqa: E402
 from shotmarts.sources import trial_documents as td  # noqa: E402
 from shotmarts.sources import trial_tables as tt  # noqa: E402
 
@@ -39,6 +41,11 @@ STATS_YEAR = 2025
 NEWEST_SEASON = 20252026
 REPLACED_SEASON = 20242025
 
+# The player, team and season of queries for one key.
+ONE_PLAYER = 8470249
+ONE_TEAM = "T02"
+ONE_SEASON = 20242025
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -114,6 +121,40 @@ def _replace_season(t: tt.TrialTables) -> DataFrame:
     return increments.replace_partition(lines, fresh, "season_id", [REPLACED_SEASON])
 
 
+def _stored_path(t: tt.TrialTables, name: str) -> str:
+    return f"{tables.staging_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _landed_xg(t: tt.TrialTables) -> DataFrame:
+    """Expected goals written as the file they come in, with a column nobody asked for, and read."""
+    path = _stored_path(t, "xg")
+    t.raw_xg_shots().withColumn("arenaAdjusted", F.lit(1)).write.option("header", True).csv(path)
+    return documents.read_xg(t.spark, path)
+
+
+def _written_games(t: tt.TrialTables) -> DataFrame:
+    """Games of all but the newest season are published, then all games once more."""
+    path, plays = _stored_path(t, "plays"), t.raw_plays().drop("raw", "ingested_at")
+    tables.write_games(plays.where(F.col("season") < NEWEST_SEASON), path)
+    tables.write_games(plays, path)
+    return tables.read_table(t.spark, path).select(*tt.PLAY_COLUMNS)
+
+
+def _materialised(m: Marts) -> DataFrame:
+    """The shot mart stored in its layout and read back."""
+    path = _stored_path(m.raw, "mart")
+    return tables.materialise(m.shot_events, path, *LAYOUT["mart_shot_events"])
+
+
+def _current_teams(t: tt.TrialTables) -> DataFrame:
+    return documents.current_teams(_docs(td.standings_documents(t), schemas.STANDINGS_DOC))
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    """A short result in display order, with each row's place in it."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
 # --- scalar expressions over the shots ------------------------------------------------------------
 
 KEY = ("game_id", "event_id")
@@ -203,6 +244,7 @@ def queries() -> dict[str, Query]:
                 _docs(td.roster_documents(t), schemas.ROSTER_DOC)
             ).select(*tt.PLAYER_COLUMNS)
         ),
+        "current_teams": _trial(_current_teams),
         "upsert_players": _trial(_upsert_players),
         "ingest_skater_stats": _trial(
             lambda t: documents.flatten_skater_stats(
@@ -215,6 +257,9 @@ def queries() -> dict[str, Query]:
                 t.raw_plays(), t.raw_player_stats(), STATS_YEAR
             )
         ),
+        "ingest_xg": _trial(_landed_xg),
+        "write_games": _trial(_written_games),
+        "materialise": _lazy(_materialised),
         # staging and scalar expressions
         "stg_games": _lazy(lambda m: m.stg_games.drop("start_time_utc", "ingested_at")),
         "stg_plays": _lazy(lambda m: m.stg_plays.drop("raw")),
@@ -272,6 +317,23 @@ def queries() -> dict[str, Query]:
         "teams_in_season": _lazy(lambda m: serving.teams_in_season(m.player_shooting, m.players)),
         "player_season_log": _lazy(lambda m: serving.player_season_log(m.player_shooting)),
         "available_seasons": _lazy(lambda m: serving.available_seasons(m.player_shooting)),
+        # one player
+        "player_card_one": _lazy(
+            lambda m: serving.player_card(m.player_shooting, m.players, ONE_PLAYER, ONE_SEASON)
+        ),
+        "player_shots_one": _lazy(
+            lambda m: serving.player_shots(m.shot_events, ONE_PLAYER, ONE_SEASON)
+        ),
+        "player_game_log_one": _lazy(
+            lambda m: _shown(
+                serving.player_game_log(
+                    m.shot_events, teams.team_perspective(m.stg_games), ONE_PLAYER, ONE_SEASON
+                )
+            )
+        ),
+        "leaderboard_one": _lazy(
+            lambda m: _shown(serving.leaderboard(m.player_shooting, m.players, ONE_SEASON))
+        ),
         # shots on the map
         "filter_options": _lazy(lambda m: serving.filter_options(_map(m))),
         "shots_filtered": _lazy(
@@ -312,6 +374,16 @@ def queries() -> dict[str, Query]:
         "team_card": _lazy(lambda m: serving.team_card(m.team_season)),
         "team_game_log": _lazy(_team_log),
         "last_10_games": _lazy(lambda m: serving.last_10_games(_team_log(m))),
+        "team_game_log_one": _lazy(
+            lambda m: _shown(serving.team_game_log(m.team_games, ONE_TEAM, ONE_SEASON))
+        ),
+        "team_roster_sorted": _lazy(
+            lambda m: _shown(
+                serving.sort_roster(
+                    serving.team_roster(m.player_shooting, m.players, ONE_TEAM, ONE_SEASON), "goals"
+                )
+            )
+        ),
         "split_records": _lazy(lambda m: serving.split_records(m.team_games)),
         "team_rolling_xg_pct": _lazy(lambda m: serving.team_rolling_xg_pct(_team_log(m))),
         "league_table": _lazy(lambda m: serving.league_table(m.team_season)),

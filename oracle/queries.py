@@ -166,6 +166,29 @@ _GAME = """game_id, season, game_type, game_date, venue, home_team_id, home_team
 _XG_DISPLAY = f"{rnd('total_xg', 1)} as total_xg, {rnd('xg_per_game', 3)} as xg_per_game"
 
 
+_CARD = f"""
+            select player_id, season, full_name, position, team_abbrev, headshot_url, team_logo_url,
+                games_played, goals, shots_on_goal, sh_pct, {_XG_DISPLAY}, goals_per_game_pctile,
+                sh_pct_pctile, avg_xg_per_shot_pctile, xg_per_game_pctile, rebound_shot_pct_pctile,
+                shot_distance_pctile, goals_above_expected, goals_above_expected_pctile,
+                sweater_number, height_in, weight_lbs, birth_country, shoots_catches, birth_date
+            from ranked_players"""
+_ROSTER = f"""
+            select team_abbrev, season, player_id, full_name, last_name, position, headshot_url,
+                team_logo_url, games_played, goals, coalesce(assists, 0) as assists,
+                coalesce(points, 0) as points, shots_on_goal, sh_pct, {_XG_DISPLAY},
+                goals_above_expected as gax
+            from ranked_players where team_abbrev is not null"""
+_LEADERS = f"""
+    select season, player_id, full_name, position, team_abbrev, headshot_url, team_logo_url,
+        games_played, goals, shots_on_goal, sh_pct, {_XG_DISPLAY}, xg_per_game_pctile, total_xg as total
+    from (select *, row_number() over (
+            partition by season order by total_xg desc nulls last, player_id) as place
+        from ranked_players) where place <= 20"""
+#: Keys of the queries for one player or team.
+_PLAYER, _TEAM, _SEASON = 8470249, "T02", 20242025
+
+
 def statements(as_of: datetime.date, year: int) -> dict[str, str]:
     """SQL by registered name; the arguments are those the queries are run with."""
     queries = {
@@ -187,6 +210,7 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
             where home_score is not null and not exists (
                 select 1 from raw_plays p where p.game_id = g.game_id and p.season < 20252026)""",
         "ingest_roster": "select * from raw_players",
+        "current_teams": "select distinct home_team_abbrev as team_abbrev from raw_games",
         "upsert_players": """
             select * replace (
                 case when team_abbrev is null then sweater_number else sweater_number + 2 end
@@ -201,6 +225,9 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
         "seasons_to_refresh": f"""
             select distinct season from raw_plays where season not in (
                 select season_id from raw_player_stats where season_id % 10000 < {year})""",
+        "ingest_xg": "select * from raw_xg_shots",
+        "write_games": "select * from raw_plays",
+        "materialise": "select * from mart_shots",
         # staging and scalar expressions
         "stg_games": "select * from stg_games",
         "stg_plays": "select * from stg_plays",
@@ -269,13 +296,7 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
             from (select *, row_number() over (
                     partition by season order by total_xg desc nulls last, player_id) as place
                 from ranked_players) where place <= 20""",
-        "player_card": f"""
-            select player_id, season, full_name, position, team_abbrev, headshot_url, team_logo_url,
-                games_played, goals, shots_on_goal, sh_pct, {_XG_DISPLAY}, goals_per_game_pctile,
-                sh_pct_pctile, avg_xg_per_shot_pctile, xg_per_game_pctile, rebound_shot_pct_pctile,
-                shot_distance_pctile, goals_above_expected, goals_above_expected_pctile,
-                sweater_number, height_in, weight_lbs, birth_country, shoots_catches, birth_date
-            from ranked_players""",
+        "player_card": _CARD,
         "percentile_scores": f"select shooter_id, season, {_scores()} from mart_player_shooting",
         "player_shots": "select * from map_shots",
         "player_game_log": "select * from player_log",
@@ -286,6 +307,21 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
         "season_players": "select season, player_id, full_name, position, team_abbrev from ranked_players",
         "teams_in_season": """
             select distinct season, team_abbrev from ranked_players where team_abbrev is not null""",
+        "player_card_one": f"select * from ({_CARD}) where player_id = {_PLAYER} and season = {_SEASON}",
+        "player_shots_one": f"select * from map_shots where shooter_id = {_PLAYER} and season = {_SEASON}",
+        "player_game_log_one": f"""
+            select *, cast(rank() over (order by game_id, team_id) as integer) as place
+            from player_log where shooter_id = {_PLAYER} and season = {_SEASON}""",
+        "leaderboard_one": f"""
+            select * exclude (total),
+                cast(rank() over (order by total desc nulls last, player_id) as integer) as place
+            from ({_LEADERS}) where season = {_SEASON}""",
+        "team_game_log_one": f"""
+            select *, cast(rank() over (order by game_id) as integer) as place
+            from team_log where team_abbrev = '{_TEAM}' and season = {_SEASON}""",
+        "team_roster_sorted": f"""
+            select *, cast(rank() over (order by goals desc nulls last, player_id) as integer) as place
+            from ({_ROSTER}) where team_abbrev = '{_TEAM}' and season = {_SEASON}""",
         "player_season_log": f"""
             select shooter_id, season, games_played, goals, shots_on_goal, sh_pct, {_XG_DISPLAY},
                 goals_above_expected from mart_player_shooting""",
@@ -370,12 +406,7 @@ def statements(as_of: datetime.date, year: int) -> dict[str, str]:
                 xg_against_per_game, xg_diff_per_game, sh_pct, sh_pct_sog, sv_pct
             from mart_team_season""",
         "league_ranks": _league_ranks(),
-        "team_roster": f"""
-            select team_abbrev, season, player_id, full_name, last_name, position, headshot_url,
-                team_logo_url, games_played, goals, coalesce(assists, 0) as assists,
-                coalesce(points, 0) as points, shots_on_goal, sh_pct, {_XG_DISPLAY},
-                goals_above_expected as gax
-            from ranked_players where team_abbrev is not null""",
+        "team_roster": _ROSTER,
         "team_names": f"""
             select team_abbrev, season, coalesce({_KNOWN}, team_abbrev) as team_name
             from mart_team_season""",

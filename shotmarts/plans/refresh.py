@@ -37,6 +37,8 @@ class Landing:
     skater_stats: str
     xg: str
     xg_format: str = "csv"
+    #: With standings, only the rosters of the clubs in them are loaded.
+    standings: str | None = None
 
 
 class Warehouse:
@@ -106,6 +108,9 @@ def load_players(house: Warehouse) -> None:
     """Upsert of the landed rosters, the newest mention of a player wins; players who left stay as
     they were."""
     docs = documents.read_documents(house.spark, house.landing.rosters, schemas.ROSTER_DOC)
+    if house.landing.standings:
+        standings = documents.read_documents(house.spark, house.landing.standings, schemas.STANDINGS_DOC)
+        docs = docs.join(documents.current_teams(standings), "team_abbrev", "left_semi")
     existing, version = tables.read_snapshot(
         house.spark, house.path("raw_players"), schemas.RAW_PLAYERS
     )

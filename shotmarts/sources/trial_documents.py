@@ -96,6 +96,13 @@ def play_documents(trial: TrialTables) -> DataFrame:
     )
 
 
+def standings_documents(trial: TrialTables) -> DataFrame:
+    """The clubs that play at home, each listed in a document of its own."""
+    clubs = trial.raw_games().select(F.col("home_team_abbrev").alias("club")).distinct()
+    entry = F.struct(_text("club").alias("teamAbbrev"))
+    return _json(clubs, _at("2026-06-02"), F.array(entry).alias("standings"))
+
+
 def roster_documents(trial: TrialTables) -> DataFrame:
     """One player per document, in the group of the position; the other groups are missing."""
     player = F.struct(
