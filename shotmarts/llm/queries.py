@@ -101,5 +101,99 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: White space between words, as both engines' patterns have it.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_EXACT_SQL = r"""
+    with texts as (
+        select doc_id, length(coalesce(text, '')) as chars,
+            regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm
+        from documents)
+    select doc_id, first_value(doc_id) over best as keep_id,
+        count(*) over (partition by norm) as group_size,
+        row_number() over best = 1 as kept, sha256(norm) as text_sha256
+    from texts window best as (partition by norm order by chars desc, doc_id)"""
+
+_MIXING_SQL = f"""
+    with sized as (
+        select doc_id, source, len({_WORDS}) as size, md5(cast(doc_id as varchar)) as draw from documents),
+    sources as (
+        select source, sum(size)::bigint as source_size,
+            (row_number() over (order by source nulls last) - 1) % 3 as kind
+        from sized group by source),
+    capped as (
+        select *, [5, 2, 1][kind + 1] as weight, 3 * source_size as cap from sources),
+    levels as (
+        select *, ((sum(source_size) over ())::bigint - coalesce(sum(cap) over (
+                order by cap / weight, source rows between unbounded preceding and 1 preceding), 0)::bigint)
+            / (sum(weight) over (
+                order by cap / weight, source rows between current row and unbounded following))::bigint as level
+        from capped),
+    goals as (
+        select source, source_size, kind, least(cap::double,
+            (select max(level) from levels where level * weight <= cap) * weight) as target
+        from levels),
+    drawn as (
+        select doc_id, size, source_size, kind, target, floor(target / source_size)::bigint as whole,
+            (sum(size) over (partition by d.source order by draw, doc_id))::bigint - size as before
+        from sized d join goals g on d.source is not distinct from g.source),
+    taken as (
+        select *, whole + if(whole < 3 and target > whole * source_size
+            and before + size / 2 <= target - whole * source_size, 1, 0) as passes from drawn),
+    placed as (
+        select *, least(1.0, (before + size / 2) / greatest(target, 1.0)) as share from taken)
+    select doc_id, size, source_size, target, passes * size as taken,
+        round(case when passes = 0 then null
+            when kind = 0 then (1.5 - sqrt(1.5::double * 1.5 - 2 * share)) / 1
+            when kind = 1 then share
+            else (0.5 - sqrt(0.5::double * 0.5 + 2 * share)) / -1 end, 9) as first_position
+    from placed"""
+
+_QUALITY_SQL = rf"""
+    with numbered as (
+        select row_number() over () as id, doc_id, source, coalesce(text, '') as text, {_WORDS} as words
+        from documents),
+    grams as (
+        select id, pos, count(*) over (partition by id, words[pos], words[pos + 1], words[pos + 2]) as n
+        from (select id, words, unnest(range(1, len(words) - 1)) as pos from numbered)),
+    repeats as (
+        select id, count(distinct pos + k) as n from grams, range(3) t(k) where n > 1 group by id),
+    lines as (
+        select id, source, text, line, row_number() over (partition by id, line) as place,
+            len(regexp_extract_all(line, '[^ 	-
+]+')) as words,
+            translate(array_to_string(regexp_extract_all(line, '[^ 	-
+]+'), ' '),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm
+        from (select id, source, text, unnest(string_split(text, chr(10))) as line from numbered)
+        where regexp_matches(line, '[^ 	-
+]')),
+    hosts as (select source, count(distinct text) as n from numbered group by source),
+    frequent as (
+        select l.source, norm from lines l join hosts h on l.source is not distinct from h.source
+        group by l.source, norm, h.n having count(distinct text) > 20 and count(distinct text) > 0.01 * h.n),
+    by_text as (
+        select id, count(*) filter (place > 1) as dup_lines, count(f.norm) as removed,
+            sum(if(f.norm is null, 0, words)) as removed_words
+        from lines l left join frequent f on l.norm = f.norm and l.source is not distinct from f.source
+        group by id),
+    judged as (
+        select doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+            len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols,
+            coalesce(dup_lines, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words,
+            coalesce(removed, 0) as n_removed_lines,
+            len(words) - coalesce(removed_words, 0)::bigint as n_left_words
+        from numbered left join by_text using (id) left join repeats r using (id))
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+        n_words >= 50 and 100 * n_repeat_words <= 50 * n_words and n_left_words >= 0.2 * n_words as kept
+    from judged"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the others, hash functions, tokenizers, parsing or components of links are beyond SQL;
+    tests hold them against brute force."""
+    return {
+        "op6_extendible_hash": _EXACT_SQL,
+        "op8_line_frequency_rules": _QUALITY_SQL,
+        "op9_curriculum_mix": _MIXING_SQL,
+    }
