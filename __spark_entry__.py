@@ -231,7 +231,11 @@ def _text_sql() -> dict[str, str]:
 
 
 def queries() -> dict[str, Query]:
-    return _text_queries() | {
+    return _text_queries() | shot_queries()
+
+
+def shot_queries() -> dict[str, Query]:
+    return {
         # loads
         "ingest_games": _trial(_ingest_games),
         "append_new_games": _trial(_append_new_games),
@@ -400,7 +404,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _text_sql() | statements(AS_OF, STATS_YEAR)
+    return _text_sql() | shot_sql()
+
+
+def shot_sql() -> dict[str, str]:
+    return statements(AS_OF, STATS_YEAR)
 
 
 def entry(spark: SparkSession) -> DataFrame:
