@@ -72,12 +72,14 @@ class Warehouse:
         return documents.read_xg(self.spark, self.landing.xg, self.landing.xg_format)
 
     def mart(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A mart as last published."""
+        return tables.published(self.spark, self.path(name))
 
     def marts(self) -> Marts:
         def keep(df: DataFrame, name: str) -> DataFrame:
             partition_by, cluster_by = LAYOUT[name]
-            return tables.materialise(df, self.path(name), partition_by, cluster_by)
+            version = tables.next_version(self.spark, self.path(name))
+            return tables.materialise(df, version, partition_by, cluster_by)
 
         return Marts(self, keep=keep)
 
@@ -157,7 +159,11 @@ def refresh(
     lookback_days: int = documents.LOOKBACK_DAYS,
     checks: tuple[Check, ...] = SUITE,
 ) -> Marts:
-    """One daily run. A step that fails ends the run; a rerun continues from what was stored."""
+    """One daily run. A step that fails ends the run; a rerun continues from what was stored.
+
+    Marts are built beside those in use and published after their checks, so a failed run leaves
+    readers the marts they had.
+    """
     house = Warehouse(spark, root, landing)
     load_games(house)
     load_plays(house, as_of, lookback_days)
@@ -165,4 +171,6 @@ def refresh(
     load_skater_stats(house, as_of.year)
     marts = build_marts(house)
     assert_quality(marts, checks)
+    for name in LAYOUT:
+        tables.publish(spark, house.path(name))
     return marts

@@ -54,6 +54,41 @@ def materialise(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Marks a version of a table that readers may see. Spark's readers pass over the file.
+PUBLISHED = "_PUBLISHED"
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, bool]:
+    """Versions of a table, and whether each is published. There are a few at most."""
+    where, fs = _file_system(spark, path)
+    if not fs.exists(where):
+        return {}
+    names = [status.getPath().getName() for status in fs.listStatus(where)]
+    numbers = [int(name.removeprefix("version-")) for name in names if name.startswith("version-")]
+    return {n: fs.exists(_file_system(spark, f"{path}/version-{n}/{PUBLISHED}")[0]) for n in numbers}
+
+
+def next_version(spark: SparkSession, path: str) -> str:
+    """A folder for a new version, beside those that readers use."""
+    return f"{path}/version-{max(_versions(spark, path), default=0) + 1}"
+
+
+def publish(spark: SparkSession, path: str) -> None:
+    """Readers see the newest version from now on. The one before it stays for those still reading;
+    older ones, and any that never passed their checks, are removed."""
+    newest = max(_versions(spark, path))
+    marker, fs = _file_system(spark, f"{path}/version-{newest}/{PUBLISHED}")
+    fs.create(marker, True).close()
+    seen = sorted(n for n, is_published in _versions(spark, path).items() if is_published)[-2:]
+    for n in _versions(spark, path).keys() - set(seen):
+        fs.delete(_file_system(spark, f"{path}/version-{n}")[0], True)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    seen = [n for n, is_published in _versions(spark, path).items() if is_published]
+    return spark.read.parquet(f"{path}/version-{max(seen, default=0)}")
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by: Sequence[str]) -> None:
     """Add rows in one job: its commit publishes all new rows or none."""
     order = [*partition_by, *cluster_by]
@@ -92,8 +127,12 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 
 
 def write_snapshot(df: DataFrame, path: str, version: int) -> None:
-    """Add a whole new version of a table that is being read while it is rewritten."""
+    """Add a whole new version of a table that is being read while it is rewritten. The one before
+    stays; the one before that goes."""
+    spark = df.sparkSession
     overwrite_partitions(df.withColumn("snapshot", F.lit(version)), path, ["snapshot"])
+    outdated, fs = _file_system(spark, f"{path}/snapshot={version - 2}")
+    fs.delete(outdated, True)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:

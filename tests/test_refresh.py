@@ -57,11 +57,20 @@ def test_refresh(spark, landing, tmp_path):
     assert before["raw_games"] == 58 and before["raw_players"] == 50 and before["raw_player_stats"] == 126
     stamps = house.raw_plays().agg({"ingested_at": "max"}).first()
 
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        house.mart("mart_shot_events")  # checks failed, nothing is published
+
     marts = run(checks)
     assert {n: getattr(house, n)().count() for n in before} == before
     assert house.raw_plays().agg({"ingested_at": "max"}).first() == stamps
     assert house.mart("mart_shot_events").count() == marts.shot_events.count()
 
+    stored = house.mart("mart_team_games").count()
+    with pytest.raises(refresh.QualityError):
+        run(quality.SUITE)
+    assert house.mart("mart_team_games").count() == stored > 0
+    assert len(list((tmp_path / "house" / "raw_players").glob("snapshot=*"))) == 2
+
     trial = Marts(TrialTables(spark, "/root/testdata/sf0.001"))
     known = trial.shot_events.join(house.raw_games().select("game_id"), "game_id", "left_semi")
     columns = ["game_id", "event_id", "x_goal", "shot_distance", "strength", "game_date", "is_rush"]
