@@ -238,10 +238,15 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> Dat
             lambda k: F.coalesce(F.array_contains("templates", F.get("subtrees", k)), F.lit(False)),
         ),
     )
+    # Pages without a block in any such subtree have nothing to lose, and need not meet the templates.
+    concerned = F.exists("blocks", lambda b: F.size(b["within"]) > 0)
+    pages_left = parsed.where(~concerned).select("page_id", "url", "blocks", F.col("blocks").alias("kept"))
+    cleaned = parsed.where(concerned).join(of_page, "id", "left").select(
+        "page_id", "url", "blocks", kept.alias("kept")
+    )
     text = F.array_join(F.transform("kept", lambda b: b["text"]), "\n")
     return (
-        parsed.join(of_page, "id", "left")
-        .withColumn("kept", kept)
+        pages_left.unionByName(cleaned)
         .select("page_id", "url", text.alias("text"), (F.size("blocks") - F.size("kept")).alias("n_removed"))
         .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_removed")
     )
