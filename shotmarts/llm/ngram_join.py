@@ -11,7 +11,7 @@ Bounds from the set sizes keep the product small:
   in any order of columns that all rows agree on. Only these are multiplied, and some spare ones.
 - Columns of more than ``hot`` groups are put last in the order: they are left out, and the spare
   columns make up for them. A row with more of them than spare columns is *dominated*. Dominated
-  rows are multiplied again with all their columns, see ``_dominated``.
+  rows meet each other once more, see ``_among_dominated``, and the others in ``_crossing``.
 - A pair stays only if the overlap counted, plus all that the columns not counted could add,
   reaches what its sizes ask for. Those left are compared on their whole texts.
 
@@ -28,7 +28,7 @@ result. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -410,6 +410,89 @@ def _crossing(
     return _within_bounds(pairs, updated, join)
 
 
+def _whole_rows(
+    docs: DataFrame, classes: DataFrame, vids: DataFrame, labelled: DataFrame, rows: DataFrame,
+    info: DataFrame, join: Join, ws: common.Workspace,
+) -> DataFrame:
+    """The given rows with all their columns, and ``hot``: of how many columns another row may share
+    none but hot ones. -1 if the product did not see all of a row's columns."""
+
+    def whole(batch: list[dict]) -> Iterator[tuple]:
+        for chunk in common.chunks(batch):
+            for row, s in zip(chunk, shingle_sets([r["text"] for r in chunk], join.n), strict=True):
+                yield row["vid"], len(s), s.tolist()
+
+    texts = _texts(docs, classes, vids, ws, "whole")
+    wide = common.map_rows(texts, "vid long, size long, given array<long>", whole, rows=500)
+    known = rows.select("vid", "all_given").distinct().join(info.select("vid", "open"), "vid")
+    hot = F.when(F.col("all_given"), F.col("open")).otherwise(F.lit(-1)).alias("hot")
+    return wide.join(labelled.select("vid", "comp"), "vid").join(known, "vid").select(
+        "vid", "comp", "size", "given", "all_given", hot
+    )
+
+
+def _among_dominated(wide: DataFrame, join: Join) -> DataFrame:
+    """Pairs within bounds of dominated rows with each other.
+
+    A pair of them that shares a column which is not hot has been met in the product. Any other
+    overlaps in hot columns only, so no more than the fewer hot columns of the two. Of the rows of a
+    column only such pairs come out whose overlap can reach what their sizes ask for, outside a known
+    component. Copies with many edits so drop out against each other; those with few are in one
+    component already.
+    """
+    first = (F.col("size") - F.ceil(join.percent * F.col("size") / 100) + 1).cast("int")
+    heads = wide.select("vid", "comp", "size", "hot", F.slice("given", F.lit(1), first).alias("given"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+    def met(part: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """The pairs of one column that may link, from a bounded block of rows at a time."""
+        _, vids, comps, sizes, hots = part
+        if (comps == comps[0]).all():
+            return
+        order = np.argsort(sizes, kind="stable")
+        vids, comps, sizes, hots = vids[order], comps[order], sizes[order], hots[order]
+        step = max(1, 1_000_000 // len(vids))
+        for at in range(0, len(vids), step):
+            i = np.arange(at, min(at + step, len(vids)))[:, None]
+            j = np.arange(at, np.searchsorted(sizes, 100 * sizes[i[-1, 0]] // join.percent, "right"))
+            needed = -(-join.percent * (sizes[i] + sizes[j]) // (100 + join.percent))
+            hot = np.minimum(hots[i], hots[j])
+            may = (j > i) & (comps[i] != comps[j]) & (100 * sizes[i] >= join.percent * sizes[j])
+            x, y = np.nonzero(may & ((hot < 0) | (hot >= needed)))
+            x, y = vids[x + at], vids[y + at]
+            pairs = np.empty(len(x), [("a", np.int64), ("b", np.int64)])
+            pairs["a"], pairs["b"] = np.minimum(x, y), np.maximum(x, y)
+            yield pairs
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                pairs, n = np.unique(np.concatenate(held), return_counts=True)
+                parts = [pa.array(pairs["a"]), pa.array(pairs["b"]), pa.array(n)]
+                yield from pa.table(parts, schema=schema).to_batches(100_000)
+                held.clear()
+
+        for part, starts in _columns(source):
+            ends = np.append(starts[1:], len(part[0]))[: len(starts)]
+            for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+                if end - start > 1:
+                    for pairs in met([x[start:end] for x in part]):
+                        held.append(pairs)
+                        if sum(map(len, held)) > 500_000:
+                            yield from flush()
+        yield from flush()
+
+    common.ship(wide.sparkSession)
+    records = heads.select(F.explode("given").alias("s"), "vid", "comp", "size", "hot")
+    dealt = records.repartition("s").sortWithinPartitions("s")
+    pairs = dealt.mapInArrow(batches, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    seen = F.size("given")
+    info = heads.select("vid", "size", F.element_at("given", -1).alias("last"), (F.col("size") - seen).alias("open"))
+    return _within_bounds(pairs, info, join)
+
+
 def _labelled(classes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Components of set digests, and of every class its component as a number."""
     found = components(links)
@@ -438,44 +521,28 @@ def similarity_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
         F.expr("r.digest = l.digest and r.tk = l.first.tk and r.doc_id <=> l.first.doc_id"),
     ).select("r.vid", "comp", "size", last, "given", full.alias("all_given"))
     rows = ws.store(rows, "rows")
+    placed = ws.store(sets.select("doc_id", "size", "digest"), "placed")
+    ws.drop("sets")
     pairs, info = _product(rows, join, ws, "rows")
     links = links.unionByName(_compared(docs, classes, pairs, join, ws, "product"))
+    ws.drop("rows-product")
 
-    dominated = ws.store(_dominated(info, join), "dominated-0")
-    left, level = dominated.count(), 0
-    while left:
+    dominated = ws.store(_dominated(info, join), "dominated")
+    if dominated.limit(1).count():
         _, labelled = _labelled(classes, links)
-        texts = _texts(docs, classes, dominated, ws, f"whole-{level}")
-
-        def whole(batch: list[dict]) -> Iterator[tuple]:
-            for chunk in common.chunks(batch):
-                for row, s in zip(chunk, shingle_sets([r["text"] for r in chunk], join.n), strict=True):
-                    yield row["vid"], len(s), (1 << 63) - 1, s.tolist()
-
-        wide = common.map_rows(
-            texts, "vid long, size long, last long, given array<long>", whole, rows=500
-        ).join(labelled.select("vid", "comp"), "vid")
-        if level == 0:
-            wide = wide.join(rows.select("vid", "all_given").distinct(), "vid")
-        wide = ws.store(wide, f"level-{level}-rows")
-        if level == 0 and wide.where("not all_given").limit(1).count():
+        wide = ws.store(_whole_rows(docs, classes, dominated, labelled, rows, info, join, ws), "wide")
+        if wide.where("not all_given").limit(1).count():
             pairs = _crossing(wide, rows, info, join)
             links = links.unionByName(_compared(docs, classes, pairs, join, ws, "crossing"))
-        pairs, inner = _product(wide, join, ws, f"level-{level}")
-        links = links.unionByName(_compared(docs, classes, pairs, join, ws, f"inner-{level}"))
-        level += 1
-        dominated = ws.store(_dominated(inner, join), f"dominated-{level}")
-        still = dominated.count()
-        if still == left:
-            # All columns count from here on: these rows share most of theirs with many others.
-            join = replace(join, hot=join.hot * 16)
-        left = still
+        links = links.unionByName(
+            _compared(docs, classes, _among_dominated(wide, join), join, ws, "dominated")
+        )
 
     found = components(links)
-    placed = sets.select("doc_id", "size", "digest").join(
-        found, F.col("digest") == F.col("vertex"), "left"
-    ).withColumn("component", F.coalesce("component", "digest"))
-    placed = ws.store(placed.select("doc_id", "size", "component"), "placed")
+    placed = placed.join(found, F.col("digest") == F.col("vertex"), "left").select(
+        "doc_id", "size", F.coalesce("component", "digest").alias("component")
+    )
+    placed = ws.store(placed, "labelled")
     least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "component", "left").select(
         "doc_id", F.col("size").alias("n_shingles"),
