@@ -1,14 +1,17 @@
 """Line deduplication by winnowing over line hashes.
 
-The non-blank lines of a text are normalised and hashed, and so are runs of ``gram`` lines. Of every
-``window`` neighbouring run hashes the smallest is a fingerprint, so any passage of
-``gram + window - 1`` lines that two texts share has a common fingerprint. Each fingerprint is
-joined with its first position anywhere, by ``doc_id`` and line. The match is extended line by line
-both ways, and the lines it covers in the later text are deleted.
-
-As a fingerprint meets only its first position, the join has one row per fingerprint however many
-texts hold it. A passage that continues past the text of that first position is covered by the
-fingerprints further on, which have first positions of their own.
+The non-blank lines of a text are normalised and hashed. Its windows are the shortest runs of whole
+lines with ``min_words`` words or more that start at a line, and those that end at one. Every window
+has its smallest line hash as fingerprint, so windows that two texts share have a common one.
+Windows whose fingerprint occurs nowhere else are left there. The others are joined, by a digest of
+all their lines, with the first place of equal lines anywhere, by ``doc_id`` and line, and the lines
+of later windows are deleted.
+
+So exactly the lines go that lie in a run of ``min_words`` words or more that an earlier place has as
+well: of any such run, one line or many, each line is in the window that starts at it or in the one
+that ends the run. As a window meets only its first place, the join has one row per window however
+many texts hold it. A run that continues past the text of that first place is covered by its further
+windows, which have first places of their own.
 
 Defined cases: a NULL or blank text has no lines; a passage repeated within one text is deleted at
 its later place; NULL ``doc_id`` ranks last; rows repeated with their ``doc_id`` rank in the order
@@ -28,20 +31,28 @@ from shotmarts.llm import common
 from shotmarts.llm.repeated_lines import without
 
 
-def line_hashes(text: str | None) -> tuple[list[int], list[tuple[int, int]]]:
-    """Hashes and spans of the non-blank lines."""
-    hashes, spans, at = [], [], 0
+def line_digests(text: str | None) -> tuple[list[bytes], list[int], list[tuple[int, int]]]:
+    """Digests, words and spans of the non-blank lines."""
+    digests, sizes, spans, at = [], [], [], 0
     for line in (text or "").split("\n"):
         words = common.split_words(line)
         if words:
-            hashes.append(xxhash.xxh3_64_intdigest(b" ".join(words).lower()) - (1 << 63))
+            digests.append(xxhash.xxh3_128_digest(b" ".join(words).lower()))
+            sizes.append(len(words))
             spans.append((at, at + len(line)))
         at += len(line) + 1
-    return hashes, spans
+    return digests, sizes, spans
+
+
+def smallest(hashes: list[int], first: int, end: int) -> int:
+    """Place of the smallest hash of a window, the last of equal ones."""
+    part = hashes[first:end]
+    return end - 1 - part[::-1].index(min(part))
 
 
 def winnow(lines: list[int], gram: int, window: int) -> Iterator[tuple[int, int]]:
-    """Fingerprints: hash and first line. The last of equal minima is taken."""
+    """Fingerprints over windows of a fixed number of runs of ``gram`` lines: hash and first line.
+    ``windows`` has those measured in words."""
     n = len(lines) - gram + 1
     if n < 1:
         return
@@ -49,27 +60,36 @@ def winnow(lines: list[int], gram: int, window: int) -> Iterator[tuple[int, int]
     grams = [xxhash.xxh3_64_intdigest(raw[i : i + gram].tobytes()) - (1 << 63) for i in range(n)]
     last = -1
     for at in range(max(1, n - window + 1)):
-        part = grams[at : at + window]
-        least = at + len(part) - 1 - part[::-1].index(min(part))
+        least = smallest(grams, at, min(at + window, n))
         if least != last:
             yield grams[least], least
             last = least
 
 
-def extend(mine: list[int], at: int, other: list[int], there: int) -> tuple[int, int]:
-    """First line and end of the run of equal lines around a match of line ``at`` with ``there``.
-    In one text the earlier run may overlap the later one, as it does in a text of equal lines."""
-    start, end = 0, 0
-    while at - start > 0 and there - start > 0 and mine[at - start - 1] == other[there - start - 1]:
-        start += 1
-    while at + end < len(mine) and there + end < len(other) and mine[at + end] == other[there + end]:
-        end += 1
-    return at - start, at + end
-
-
-def remove(docs: DataFrame, gram: int = 2, window: int = 2, min_words: int = 20) -> DataFrame:
+def windows(sizes: list[int], min_words: int) -> list[tuple[int, int]]:
+    """First line and end of the shortest runs with ``min_words`` words from each line on, and of
+    the shortest up to each line."""
+    found, first, held = set(), 0, 0
+    for end, size in enumerate(sizes, 1):
+        held += size
+        # The run from ``first`` on has the words only now, so this is its shortest end.
+        while first < end and held >= min_words:
+            found.add((first, end))
+            held -= sizes[first]
+            first += 1
+    last, held = len(sizes), 0
+    for first in range(len(sizes) - 1, -1, -1):
+        held += sizes[first]
+        while last > first and held >= min_words:
+            found.add((first, last))
+            last -= 1
+            held -= sizes[last]
+    return sorted(found)
+
+
+def remove(docs: DataFrame, min_words: int = 20) -> DataFrame:
     """``doc_id``, the number and spans of the ``removed`` runs with the ``doc_id`` each repeats, and
-    the ``clean_text``, for every row. Runs below ``min_words`` words stay."""
+    the ``clean_text``, for every row. Repeats below ``min_words`` words stay."""
     ws = common.Workspace(docs.sparkSession, "winnowing")
     types = dict(docs.dtypes)
     kind = types["doc_id"]
@@ -79,53 +99,53 @@ def remove(docs: DataFrame, gram: int = 2, window: int = 2, min_words: int = 20)
 
     def prints(batch: list[dict]) -> Iterator[tuple]:
         for row in batch:
-            hashes, _ = line_hashes(row["text"])
-            yield (row["row_id"], row["doc_id"], hashes, list(winnow(hashes, gram, window)))
-
-    schema = f"row_id long, doc_id {kind}, lines array<long>, prints array<struct<h: long, at: int>>"
-    lined = ws.store(common.map_rows(rows, schema, prints), "prints")
-    marks = lined.select("row_id", "doc_id", F.explode("prints").alias("p")).select(
-        "row_id", "doc_id", "p.h", "p.at"
+            digests, sizes, _ = line_digests(row["text"])
+            hashes = [int.from_bytes(d[:8], "big", signed=True) for d in digests]
+            held: dict[int, list[tuple]] = {}
+            for first, end in windows(sizes, min_words):
+                digest = xxhash.xxh3_128_digest(b"".join(digests[first:end]))
+                held.setdefault(smallest(hashes, first, end), []).append((digest, first, end))
+            for at, found in held.items():
+                yield (row["row_id"], row["doc_id"], hashes[at], found)
+
+    schema = (
+        f"row_id long, doc_id {kind}, h long, windows array<struct<digest: binary, at: int, end: int>>"
     )
+    marks = ws.store(common.map_rows(rows, schema, prints), "prints")
+    again = marks.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    # Few windows are left from here on.
+    found = marks.join(again, "h", "left_semi").select("row_id", "doc_id", F.explode("windows").alias("w"))
+    found = ws.store(found.select("row_id", "doc_id", "w.digest", "w.at", "w.end"), "windows")
+    ws.drop("prints")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id", "at")
-    firsts = marks.groupBy("h").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
-    matches = marks.join(firsts, "h").where(
-        "row_id != first.row_id or at != first.at"
-    ).select(
-        "row_id", "at", F.col("first.row_id").alias("there_id"), F.col("first.doc_id").alias("keep_id"),
-        F.col("first.at").alias("there"),
-    )
-    # Lines of the first texts come to the matches, then all matches of a text to its lines.
-    matches = matches.join(
-        lined.select(F.col("row_id").alias("there_id"), F.col("lines").alias("other")), "there_id"
+    firsts = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = found.join(firsts, "digest").where("row_id != first.row_id or at != first.at").select(
+        "row_id", "at", "end", F.col("first.row_id").alias("there_id"),
+        F.col("first.at").alias("there"), F.col("first.doc_id").alias("keep_id"),
     )
-    mine = lined.select("row_id", "lines")
-
-    def extended(batch: list[dict]) -> Iterator[tuple]:
-        for m in batch:
-            start, end = extend(m["lines"], m["at"], m["other"], m["there"])
-            yield (m["row_id"], start, end, m["keep_id"])
-
-    runs = common.map_rows(
-        matches.join(mine, "row_id"), f"row_id long, first int, end int, keep_id {kind}", extended
-    ).distinct()
-    per_row = runs.groupBy("row_id").agg(
-        F.sort_array(F.collect_list(F.struct("first", "end", "keep_id"))).alias("runs")
+    per_row = later.groupBy("row_id").agg(
+        F.sort_array(F.collect_list(F.struct("at", "end", "there_id", "there", "keep_id"))).alias("runs")
     )
 
     def cleaned(batch: list[dict]) -> Iterator[tuple]:
         for row in batch:
-            text, gone = row["text"], []
-            spans = line_hashes(text)[1] if row["runs"] else []
-            upto = 0
+            text = row["text"]
+            spans = line_digests(text)[2] if row["runs"] else []
+            gone: list[list] = []
+            upto, along = 0, None
             for run in row["runs"] or []:
-                first, end = max(run["first"], upto), run["end"]
-                whole = text[spans[run["first"]][0] : spans[end - 1][1]]
-                if first < end and len(whole.split()) >= min_words:
-                    gone.append((spans[first][0], spans[end - 1][1], run["keep_id"]))
-                    upto = end
-            clean = text and without(text, [g[:2] for g in gone])
-            yield (row["doc_id"], len(gone), gone, clean)
+                # Windows that go on along the same earlier text are one run.
+                same = (run["there_id"], run["there"] - run["at"])
+                first, end = max(run["at"], upto), run["end"]
+                if first >= end:
+                    continue
+                if same == along and run["at"] <= upto:
+                    gone[-1][1] = spans[end - 1][1]
+                else:
+                    gone.append([spans[first][0], spans[end - 1][1], run["keep_id"]])
+                upto, along = end, same
+            clean = text and without(text, [(g[0], g[1]) for g in gone])
+            yield (row["doc_id"], len(gone), [tuple(g) for g in gone], clean)
 
     out = (
         f"doc_id {kind}, n_removed int, "

@@ -94,6 +94,46 @@ def test_winnowed_runs(spark):
     assert set(left(5)) == {other[0]} and len(left(5)) < 6
 
 
+
+def earlier_runs_only(rows, min_words):
+    """Lines left when each shared run of lines with ``min_words`` words stays at its first place."""
+    texts = [text.split("\n") for _, text in sorted(rows)]
+    seen, clean = set(), []
+    for lines in texts:
+        gone = set()
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                run = tuple(lines[i:j])
+                if sum(len(x.split()) for x in run) >= min_words and run in seen:
+                    gone.update(range(i, j))
+                seen.add(run)
+        clean.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return dict(zip(sorted(r[0] for r in rows), clean, strict=True))
+
+
+def test_winnowed_runs_of_one_and_two_lines(spark):
+    rng = random.Random(9)
+    line = lambda n: " ".join(words(rng, n, 10**6))
+    one, two = line(60), [line(30), line(25)]
+    rows = [
+        (1, "\n".join([line(9), one, line(9), *two, line(9)])),
+        (2, "\n".join([line(40), one, line(40)])),
+        (3, one),
+        (4, "\n".join([*(line(8) for _ in range(3)), *two, line(30)])),
+    ]
+    lines = [line(n) for n in (2, 4, 7, 7, 11, 15, 25)]
+    rows += [(10 + i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 9)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in winnowing.remove(docs).collect()}
+    texts = dict(rows)
+    assert one not in got[2].clean_text and got[3].clean_text == ""
+    assert not set(two) & set(got[4].clean_text.split("\n"))
+    left = earlier_runs_only(rows, 20)
+    assert {d: r.clean_text for d, r in got.items()} == left
+    for r in got.values():
+        assert all(texts[r.doc_id][start:end] in texts[keep_id] for start, end, keep_id in r.removed)
+
+
 PAGE = """<html><head><title>t</title><script>if (a < b) "</p>"</script></head><body><nav><a>x</a></nav>
 <div class="box"><p>Follow us</p></div>{body}<footer>&copy; f</footer></body></html>"""
 
