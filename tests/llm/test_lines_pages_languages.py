@@ -134,6 +134,20 @@ def test_winnowed_runs_of_one_and_two_lines(spark):
         assert all(texts[r.doc_id][start:end] in texts[keep_id] for start, end, keep_id in r.removed)
 
 
+def test_winnowed_runs_past_the_first_text(spark):
+    """The text that has the start of a passage first may lack the rest of it."""
+    rng = random.Random(10)
+    line = lambda n: " ".join(words(rng, n, 10**6))
+    rows = []
+    for k in range(12):
+        a, b, c = (line(n) for n in ((9, 9, 45), (18, 18, 18), (45, 9, 9))[k % 3])
+        rows += [(10 * k + 1, f"{a}\n{b}"), (10 * k + 2, f"{a}\n{b}\n{c}"), (10 * k + 3, f"{a}\n{b}\n{c}\n{line(5)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.clean_text for r in winnowing.remove(docs).collect()}
+    assert got == earlier_runs_only(rows, 20)
+    assert all(len(got[10 * k + 3].split()) == 5 for k in range(12))
+
+
 PAGE = """<html><head><title>t</title><script>if (a < b) "</p>"</script></head><body><nav><a>x</a></nav>
 <div class="box"><p>Follow us</p></div>{body}<footer>&copy; f</footer></body></html>"""
 
