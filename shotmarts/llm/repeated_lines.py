@@ -5,7 +5,11 @@ to lower case) and hashed. Digests are grouped over all documents; of equal unit
 first, by ``doc_id`` and place in its text, is kept and the others are removed. Every unit has its
 offsets in the original text.
 
-Units below ``min_words`` words are left alone: headings and dialogue repeat without being copies.
+A repeated unit of ``min_words`` words or more goes by itself. Shorter ones, such as headings and
+dialogue, repeat without being copies, so they go in company only: if those of a run of repeated
+units have ``min_words`` words together, or if they belong to a repeated passage of
+``passage_words`` words or more. A passage is a run in which each two neighbours are neighbours in
+an earlier place too. Blank units neither end a run nor go. The first place of a unit always stays.
 
 Defined cases: a NULL text has no units; NULL ``doc_id`` ranks last; rows repeated with their
 ``doc_id`` rank in the order in which they were read, so one of them keeps its units; a text that
@@ -48,63 +52,110 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return joined[:-1] if lost_last and joined.endswith("\n") else joined
 
 
-def find(docs: DataFrame, unit: str = "line", min_words: int = 20) -> DataFrame:
-    """A row per repeated unit: its place, and that of the unit that is kept (which may be itself).
+def find(docs: DataFrame, unit: str = "line") -> DataFrame:
+    """A row per repeated unit, and per repeated pair of neighbours: its place, and that of the first.
 
-    ``row_id``, ``doc_id``, ``unit``, ``start``, ``end``, ``kept``, ``keep_id``, ``keep_unit``,
-    ``copies``. ``docs`` has ``row_id``, ``doc_id`` and ``text``.
+    ``row_id``, ``doc_id``, ``pair``, ``unit``, ``kept`` (whether it is the first itself),
+    ``keep_id``, ``keep_unit``, ``copies``. Units that are not blank are numbered from 0; a pair has
+    the number of its earlier unit. ``docs`` has ``row_id``, ``doc_id`` and ``text``.
     """
     border = BORDERS[unit]
     types = dict(docs.dtypes)
 
     def work(rows: list[dict]) -> Iterator[tuple]:
         for row in rows:
-            for number, (start, end) in enumerate(units(row["text"], border)):
-                words = common.split_words(row["text"][start:end])
-                if len(words) >= min_words:
-                    digest = xxhash.xxh3_128_digest(b" ".join(words).lower())
-                    yield (row["row_id"], row["doc_id"], number, start, end, digest)
-
-    schema = (
-        f"row_id long, doc_id {types['doc_id']}, unit int, start int, end int, digest binary"
-    )
+            before = None
+            for number, (_, _, words) in enumerate(worded(row["text"], border)):
+                digest = xxhash.xxh3_128_digest(b" ".join(words).lower())
+                yield (row["row_id"], row["doc_id"], False, number, digest)
+                if before:
+                    both = xxhash.xxh3_128_digest(before + digest)
+                    yield (row["row_id"], row["doc_id"], True, number - 1, both)
+                before = digest
+
+    schema = f"row_id long, doc_id {types['doc_id']}, pair boolean, unit int, digest binary"
     found = common.map_rows(docs.select("row_id", "doc_id", "text"), schema, work)
     ws = common.Workspace(docs.sparkSession, "units")
     found = ws.store(found, "units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id", "unit")
-    firsts = found.groupBy("digest").agg(
+    # Aggregated before the exchange too, so a unit that very many texts have is no load.
+    firsts = found.groupBy("digest", "pair").agg(
         F.count("*").alias("copies"), F.min(rank).alias("first")
     ).where("copies > 1")
     same = (F.col("row_id") == F.col("first.row_id")) & (F.col("unit") == F.col("first.unit"))
-    return found.join(firsts, "digest").select(
-        "row_id", "doc_id", "unit", "start", "end", same.alias("kept"),
+    return found.join(firsts, ["digest", "pair"]).select(
+        "row_id", "doc_id", "pair", "unit", same.alias("kept"),
         F.col("first.doc_id").alias("keep_id"), F.col("first.unit").alias("keep_unit"), "copies",
     )
 
 
-def remove(docs: DataFrame, unit: str = "line", min_words: int = 20) -> DataFrame:
+def worded(text: str | None, border: re.Pattern[str]) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Start, end and words of each unit that is not blank."""
+    for start, end in units(text, border):
+        words = common.split_words(text[start:end])
+        if words:
+            yield start, end, words
+
+
+def chosen(
+    sizes: list[int], repeated: set[int], pairs: set[int], min_words: int, passage_words: int
+) -> list[int]:
+    """Numbers of the repeated units that go, by the words of all units."""
+    gone = {u for u in repeated if sizes[u] >= min_words}
+    for run in runs(sorted(repeated), repeated):
+        short = [u for u in run if sizes[u] < min_words]
+        if sum(sizes[u] for u in short) >= min_words:
+            gone.update(short)
+    for run in runs(sorted(repeated), pairs):
+        if sum(sizes[u] for u in run) >= passage_words:
+            gone.update(run)
+    return sorted(gone)
+
+
+def runs(numbers: list[int], linked: set[int]) -> Iterator[list[int]]:
+    """Numbers in order, cut wherever one is not the next after one of ``linked``."""
+    run: list[int] = []
+    for number in numbers:
+        if run and not (number == run[-1] + 1 and run[-1] in linked):
+            yield run
+            run = []
+        run.append(number)
+    if run:
+        yield run
+
+
+def remove(
+    docs: DataFrame, unit: str = "line", min_words: int = 20, passage_words: int = 50
+) -> DataFrame:
     """``doc_id``, ``n_units`` removed, their ``removed`` spans in the original text with the
     ``doc_id`` that keeps each, and the ``clean_text``, for every row."""
     ws = common.Workspace(docs.sparkSession, "lines")
     rows = ws.store(
         docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"), "rows"
     )
-    span = F.struct("start", "end", "keep_id")
-    spans = find(rows, unit, min_words).where("not kept").groupBy("row_id").agg(
-        F.sort_array(F.collect_list(span)).alias("removed")
+    border = BORDERS[unit]
+    later = find(rows, unit).where("not kept").groupBy("row_id").agg(
+        F.collect_list(F.when(~F.col("pair"), F.struct("unit", "keep_id"))).alias("repeated"),
+        F.collect_list(F.when(F.col("pair"), F.col("unit"))).alias("pairs"),
     )
     types = dict(rows.dtypes)
 
     def work(batch: list[dict]) -> Iterator[tuple]:
         for row in batch:
-            text, removed = row["text"], row["removed"] or []
-            clean = text and without(text, [(s["start"], s["end"]) for s in removed])
-            yield (row["doc_id"], len(removed), [tuple(s.values()) for s in removed], clean)
+            text, removed = row["text"], []
+            if row["repeated"]:
+                placed = [(start, end, len(words)) for start, end, words in worded(text, border)]
+                keepers = {u["unit"]: u["keep_id"] for u in row["repeated"]}
+                sizes = [size for _, _, size in placed]
+                for u in chosen(sizes, set(keepers), set(row["pairs"]), min_words, passage_words):
+                    removed.append((*placed[u][:2], keepers[u]))
+            clean = text and without(text, [r[:2] for r in removed])
+            yield (row["doc_id"], len(removed), removed, clean)
 
     kind = types["doc_id"]
     schema = (
         f"doc_id {kind}, n_removed int, "
         f"removed array<struct<start: int, end: int, keep_id: {kind}>>, clean_text string"
     )
-    joined = rows.join(spans, "row_id", "left").select("doc_id", "text", "removed")
+    joined = rows.join(later, "row_id", "left").select("doc_id", "text", "repeated", "pairs")
     return common.map_rows(joined, schema, work, rows=2000)

@@ -44,6 +44,29 @@ def test_line_hashing(spark):
             assert texts[r.doc_id][start:end] in texts[keep_id].split("\n") and keep_id <= r.doc_id
 
 
+def test_passages_of_short_lines(spark):
+    rng = random.Random(3)
+    line = lambda n: " ".join(words(rng, n, 10**6))
+    six, mixed, alone = [line(12) for _ in range(6)], [line(30), line(4), line(30)], line(12)
+    rows = [
+        (1, "\n".join([line(7), *six, line(7), *mixed, line(9), alone])),
+        (2, "\n".join([line(5), *six[:3], "", *six[3:], alone.upper(), line(8)])),
+        (3, "\n".join([alone, line(5), *mixed, line(6)])),
+        (4, "\n".join([alone, line(6), six[0], line(7), mixed[1]])),
+        (5, "\n".join([six[4], six[1], line(6)])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in repeated_lines.remove(docs).collect()}
+    lines = {d: text.split("\n") for d, text in rows}
+    assert got[1].n_removed == got[4].n_removed == 0
+    assert got[2].clean_text.split("\n") == [lines[2][0], "", lines[2][-1]]
+    assert got[3].clean_text.split("\n") == [*lines[3][:2], lines[3][-1]]
+    assert got[5].clean_text == lines[5][-1]
+    for r in got.values():
+        for start, end, keep_id in r.removed:
+            assert dict(rows)[r.doc_id][start:end].lower() in [x.lower() for x in lines[keep_id]]
+
+
 def test_paragraphs(spark):
     part = "\n".join(" ".join(f"p{i}{k}" for k in range(12)) for i in range(3))
     rows = [(1, f"head\n\n{part}"), (2, f"{part.upper()}\n \nother"), (3, None)]
