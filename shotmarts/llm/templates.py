@@ -208,11 +208,11 @@ def parse_pages(rows: list[dict]) -> Iterator[tuple]:
         )
 
 
-def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` and ``n_removed`` blocks of every page.
 
-    A subtree is a template when at least ``min_pages`` different pages of its host have it and they
-    are at least ``min_share`` of them.
+    A subtree is a template when at least ``min_pages`` different pages of its host have it, and one
+    more for each doubling of the host's different pages from ``5 * min_pages`` on.
     """
     ws = common.Workspace(pages.sparkSession, "templates")
     types = dict(pages.dtypes)
@@ -227,7 +227,8 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> Dat
     counted = subtrees.groupBy("host", "subtree", "content").agg(F.lit(1).alias("one"))
     counted = counted.groupBy("host", "subtree").agg(F.count("*").alias("n"))
     recurring = counted.where(F.col("n") >= min_pages).join(per_host, "host")
-    recurring = recurring.where(F.col("n") >= min_share * F.col("n_pages")).select("host", "subtree")
+    more = F.greatest(F.lit(0.0), F.log2(F.col("n_pages") / (5 * min_pages)))
+    recurring = recurring.where(F.col("n") >= min_pages + more).select("host", "subtree")
     of_page = subtrees.join(recurring, ["host", "subtree"]).groupBy("id").agg(
         F.collect_set("subtree").alias("templates")
     )

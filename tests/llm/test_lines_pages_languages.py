@@ -192,6 +192,17 @@ def test_templates(spark):
     assert templates.extract(pages.limit(0)).count() == 0
 
 
+def test_template_of_a_section(spark):
+    """A box on 5 % of a large host's pages is a template, one on a few of them is none."""
+    page = "<html><body><article><h1>T{i}</h1>{x}<p>text {i}</p></article></body></html>"
+    box = lambda i: "<div>Section box</div>" if i < 20 else "<div>Seldom</div>" if i < 25 else ""
+    rows = [(i, f"http://big.org/{i}", page.format(i=i, x=box(i))) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in templates.extract(pages).collect()}
+    for i in range(400):
+        assert got[i] == (f"T{i}\nSeldom\ntext {i}" if 20 <= i < 25 else f"T{i}\ntext {i}")
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = languages.fit(docs.where(~languages.held_out()))
