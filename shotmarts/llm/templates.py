@@ -6,6 +6,10 @@ from the pages of that host. What HTML itself marks as no article (navigation, h
 asides, forms, scripts, and elements named as adverts, notices or comments) goes as well, so that
 hosts with few pages come out clean too. If a page has articles, its text is theirs.
 
+An element that its tag, role or name marks is judged once the page is read: it stays if it holds the
+page's articles (a ``main``, or articles with no unmarked one elsewhere or most of the articles' text)
+or most of its running text. Articles inside an article, such as comments, do not make it stay.
+
 Within an article a paragraph, heading, list or quotation is content even if other pages have it,
 so only neutral boxes (``div``, ``section``, ``table``) count there, and an element that holds the
 article is never a template. Pages with equal articles count once: copies are no template.
@@ -19,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -51,13 +56,19 @@ OUTSIDE = frozenset(
     "object audio video canvas dialog menu search title xmp noembed noframes datalist".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+#: Those of them that can lie around an article, and are judged by what they hold.
+AROUND = frozenset("head nav header footer aside form dialog menu search".split())
+#: Blocks whose own text is no running text.
+SHORT = AROUND | frozenset("h1 h2 h3 h4 h5 h6 hgroup li dt dd th option legend summary figcaption".split())
 #: Words of a class or id that name something other than an article.
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion"
     r"|banner|cookie|cookies|consent|gdpr|notice|notices|popup|modal|overlay|newsletter|subscribe"
-    r"|subscription|signup|paywall|sidebar|side|aside|widget|nav|navbar|navigation|menu|breadcrumb"
+    r"|subscription|signup|paywall|aside|widget|nav|navbar|navigation|menu|breadcrumb"
     r"|breadcrumbs|pagination|pager|footer|share|sharing|social|related|recommended"
     r"|comment|comments|commentlist|disqus|respond|replies|reactions)(?=$|[\s_-])"
+    # These are whole tokens only: layouts are named has-sidebar or side-by-side.
+    r"|(?:^|\s)(?:sidebar|side)(?=$|\s)"
 )
 #: The like for what stands before an article; inside one it may hold the title.
 TOPS = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?=$|[\s_-])")
@@ -84,20 +95,55 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def not_article(tag: str, attributes: str, in_article: bool) -> bool:
+def not_article(tag: str, attributes: str, in_article: bool) -> str:
+    """``"never"`` for what is no text at all, ``"marked"`` for what tag, role or name call no
+    article, else ``""``."""
+    marked = ""
     if tag in OUTSIDE or (tag == "header" and not in_article):
-        return True
+        if tag not in AROUND:
+            return "never"
+        marked = "marked"
     if not attributes or tag in HOLDERS:
-        return False
+        return marked
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value in ROLES or name == "style" and HIDDEN.search(value):
-            return True
+            return "never"
+        if name == "style" and HIDDEN.search(value):
+            return "never"
+        if name == "role" and value in ROLES:
+            marked = "marked"
         if name in ("class", "id") and (NAMES.search(value) or not in_article and TOPS.search(value)):
-            return True
-    return False
+            marked = "marked"
+    return marked
+
+
+class Mark:
+    """A marked element: whether it is inside an article, and what it holds."""
+
+    def __init__(self, inside: bool) -> None:
+        self.inside = inside
+        self.main = self.article = False
+        self.article_text = self.running_text = 0
+
+
+class Block(NamedTuple):
+    text: str
+    #: Subtrees that it lies in.
+    within: list[int]
+    in_article: bool
+    marks: tuple[Mark, ...]
+
+
+class Element(NamedTuple):
+    tag: str
+    start: int
+    dropped: bool
+    in_article: bool
+    #: Number of the subtree, or -1.
+    number: int
+    #: Marked elements around, and itself if marked.
+    marks: tuple[Mark, ...]
 
 
 class Page:
@@ -105,11 +151,15 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.source = source
-        #: tag, start, dropped, article, subtree number or -1
-        self.stack: list[tuple[str, int, bool, bool, int]] = []
+        self.stack: list[Element] = []
+        #: Start and end, and the marks around.
+        self.places: list[tuple[int, int, tuple[Mark, ...]]] = []
         self.subtrees: list[int] = []
-        #: text, subtrees, whether in an article
-        self.blocks: list[tuple[str, list[int], bool]] = []
+        self.blocks: list[Block] = []
+        self.marks: list[Mark] = []
+        #: Whether an article or main element is in no marked element.
+        self.free_article = False
+        self.article_text = self.running_text = 0
         self.text: list[str] = []
         self.parse()
 
@@ -131,9 +181,29 @@ class Page:
         self.add(source[at:])
         while self.stack:
             self.pop(len(source))
+        self.judge()
+
+    def judge(self) -> None:
+        """Drops the blocks in marked elements that do not stay, and hashes the other subtrees."""
+        gone = {id(m) for m in self.marks if not self.stays(m)}
+        self.blocks = [b for b in self.blocks if not any(id(m) in gone for m in b.marks)]
+        numbers = {}
+        for k, (start, end, marks) in enumerate(self.places):
+            if not any(id(m) in gone for m in marks):
+                numbers[k] = len(self.subtrees)
+                inside = SPACE.sub(" ", self.source[start:end])
+                self.subtrees.append(xxhash.xxh3_64_intdigest(inside) - (1 << 63))
+        self.blocks = [b._replace(within=[numbers[k] for k in b.within]) for b in self.blocks]
+
+    def stays(self, mark: Mark) -> bool:
+        if mark.main or mark.article:
+            if mark.inside:
+                return False
+            return mark.main or not self.free_article or 2 * mark.article_text > self.article_text
+        return 2 * mark.running_text > self.running_text
 
     def add(self, text: str) -> None:
-        if text and not (self.stack and self.stack[-1][2]):
+        if text and not (self.stack and self.stack[-1].dropped):
             self.text.append(text)
 
     def flush(self) -> None:
@@ -141,8 +211,14 @@ class Page:
             text = SPACE.sub(" ", entities.unescape("".join(self.text))).strip()
             self.text = []
             if text:
-                within = [s[4] for s in self.stack if s[4] >= 0]
-                self.blocks.append((text, within, any(s[3] for s in self.stack)))
+                top = self.stack[-1] if self.stack else Element("", 0, False, False, -1, ())
+                within = [s.number for s in self.stack if s.number >= 0]
+                self.blocks.append(Block(text, within, top.in_article, top.marks))
+                nearest = next((s.tag for s in reversed(self.stack) if s.tag in BLOCK), "")
+                running = 0 if nearest in SHORT else len(text)
+                for held in (self, *top.marks):
+                    held.running_text += running
+                    held.article_text += len(text) if top.in_article else 0
 
     def open(self, tag: str, attributes: str, start: int) -> None:
         if tag in CLOSES_P:
@@ -155,45 +231,53 @@ class Page:
             self.flush()
         if tag in VOID:
             return
-        above = self.stack[-1] if self.stack else ("", 0, False, False, -1)
-        article = above[3] or tag in ("article", "main")
-        dropped = above[2] or not_article(tag, attributes, above[3])
-        number = -1
-        if not dropped and tag not in HOLDERS and (tag in BOXES or tag in BLOCK and not above[3]):
-            number = len(self.subtrees)
-            self.subtrees.append(0)
-        if dropped and not above[2] and tag not in BLOCK:
+        above = self.stack[-1] if self.stack else Element("", 0, False, False, -1, ())
+        in_article = above.in_article or tag in ("article", "main")
+        verdict = "never" if above.dropped else not_article(tag, attributes, above.in_article)
+        dropped, marks = verdict == "never", above.marks
+        if tag in ("article", "main") and not dropped:
+            self.free_article |= not marks
+            for mark in marks:
+                mark.article |= tag == "article"
+                mark.main |= tag == "main"
+        if verdict and not above.dropped and tag not in BLOCK:
             self.add(" ")
-        self.stack.append((tag, start, dropped, article, number))
+        if verdict == "marked":
+            marks = (*marks, Mark(any(s.tag == "article" for s in self.stack)))
+            self.marks.append(marks[-1])
+        number = -1
+        if not dropped and tag not in HOLDERS and (tag in BOXES or tag in BLOCK and not above.in_article):
+            number = len(self.places)
+            self.places.append((start, start, marks))
+        self.stack.append(Element(tag, start, dropped, in_article, number, marks))
 
     def end_implied(self, ends: set[str], borders: set[str], at: int) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] in ends:
+            if self.stack[k].tag in ends:
                 while len(self.stack) > k:
                     self.pop(at)
                 return
-            if self.stack[k][0] in borders:
+            if self.stack[k].tag in borders:
                 return
 
     def close(self, tag: str, start: int, end: int) -> None:
-        if all(s[0] != tag for s in self.stack):
+        if all(s.tag != tag for s in self.stack):
             return
-        while self.stack[-1][0] != tag:
+        while self.stack[-1].tag != tag:
             self.pop(start)
         self.pop(end)
 
     def pop(self, end: int) -> None:
-        tag, start, _, _, number = self.stack[-1]
-        if tag in BLOCK:
+        top = self.stack[-1]
+        if top.tag in BLOCK:
             self.flush()
         self.stack.pop()
-        if number >= 0:
-            inside = SPACE.sub(" ", self.source[start:end])
-            self.subtrees[number] = xxhash.xxh3_64_intdigest(inside) - (1 << 63)
+        if top.number >= 0:
+            self.places[top.number] = (top.start, end, top.marks)
 
-    def main_blocks(self) -> list[tuple[str, list[int], bool]]:
-        if any(block[2] for block in self.blocks):
-            return [block for block in self.blocks if block[2]]
+    def main_blocks(self) -> list[Block]:
+        if any(block.in_article for block in self.blocks):
+            return [block for block in self.blocks if block.in_article]
         return self.blocks
 
 
@@ -201,10 +285,10 @@ def parse_pages(rows: list[dict]) -> Iterator[tuple]:
     for row in rows:
         page = Page(row["html"] or "")
         blocks = page.main_blocks()
-        content = xxhash.xxh3_64_intdigest("\n".join(b[0] for b in blocks)) - (1 << 63)
+        content = xxhash.xxh3_64_intdigest("\n".join(b.text for b in blocks)) - (1 << 63)
         yield (
             row["id"], row["page_id"], row["url"], host_of(row["url"]), content, page.subtrees,
-            [(text, within) for text, within, _ in blocks],
+            [(b.text, b.within) for b in blocks],
         )
 
 

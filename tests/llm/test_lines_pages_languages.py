@@ -203,6 +203,24 @@ def test_template_of_a_section(spark):
         assert got[i] == (f"T{i}\nSeldom\ntext {i}" if 20 <= i < 25 else f"T{i}\ntext {i}")
 
 
+def test_marked_boxes_around_the_article():
+    article = "<article><h1>Title</h1><p>All of the text of this page</p></article>"
+    side = '<aside><p>Side</p></aside><div class="sidebar"><a>x</a></div>'
+    text = lambda html: "\n".join(b.text for b in templates.Page(html).main_blocks())
+    for opening in (
+        '<div class="layout has-sidebar">', '<div class="no-sidebar">', '<div class="side-by-side">',
+        '<div class="widget">', '<form action="/">', '<main><form>', '<div id="nav"><div class="social">',
+    ):
+        close = "".join(f"</{t}>" for t in reversed(re.findall(r"<(\w+)", opening)))
+        page = f"<html><body><nav><a>Home</a></nav>{opening}{article}{side}{close}<footer>f</footer></body></html>"
+        assert text(page) == "Title\nAll of the text of this page"
+    assert text(f"<form><p>Long text of a page</p><div>and more</div>{side}</form>") == "Long text of a page\nand more"
+    comment = "<div class='comments'><article><p>{}</p></article></div>"
+    assert text(article + comment.format("A comment")) == text(article)
+    inside = article.replace("</article>", comment.format("A comment that is longer than the text " * 3) + "</article>")
+    assert text(inside) == text(article)
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = languages.fit(docs.where(~languages.held_out()))
