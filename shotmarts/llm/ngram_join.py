@@ -119,7 +119,9 @@ def text_key() -> Column:
 
 
 def _rows(docs: DataFrame, join: Join) -> DataFrame:
+    """A row per document. ``docs`` may bring a ``row_id``, which is kept."""
     kind = dict(docs.dtypes)["doc_id"]
+    own = ["row_id"] if "row_id" in docs.columns else []
 
     def work(batch: list[dict]) -> Iterator[tuple]:
         for chunk in common.chunks(batch):
@@ -128,11 +130,11 @@ def _rows(docs: DataFrame, join: Join) -> DataFrame:
                 digest = set_digest(columns) if size else None
                 given = columns[: join.given(size)].tolist()
                 vid = short_id(digest) if size else None
-                yield (row["doc_id"], row["tk"], digest, vid, size, given[: join.head], given)
+                yield (*(row[c] for c in own), row["doc_id"], row["tk"], digest, vid, size, given[: join.head], given)
 
     return common.map_rows(
-        docs.select("doc_id", "text", text_key().alias("tk")),
-        f"doc_id {kind}, tk long, digest binary, vid long, size long, head array<long>, given array<long>",
+        docs.select(*own, "doc_id", "text", text_key().alias("tk")),
+        f"{'row_id long, ' if own else ''}doc_id {kind}, tk long, digest binary, vid long, size long, head array<long>, given array<long>",
         work,
         rows=2000,
     )
@@ -503,8 +505,21 @@ def _labelled(classes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFram
 
 def similarity_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every row."""
+    placed = _placed(docs.select("doc_id", "text"), join)
+    least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    return placed.join(least, "component", "left").select(
+        "doc_id", F.col("size").alias("n_shingles"),
+        F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def _placed(docs: DataFrame, join: Join) -> DataFrame:
+    """``doc_id``, ``size`` and ``component``, NULL for empty sets, of every row, and its ``row_id``
+    if ``docs`` brings one."""
+    own = ["row_id"] if "row_id" in docs.columns else []
     ws = common.Workspace(docs.sparkSession, "ngram-join")
     sets = ws.store(_rows(docs, join), "sets")
+    docs = docs.drop("row_id")
     filled = sets.where("size > 0")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk")
     classes = ws.store(
@@ -521,7 +536,7 @@ def similarity_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
         F.expr("r.digest = l.digest and r.tk = l.first.tk and r.doc_id <=> l.first.doc_id"),
     ).select("r.vid", "comp", "size", last, "given", full.alias("all_given"))
     rows = ws.store(rows, "rows")
-    placed = ws.store(sets.select("doc_id", "size", "digest"), "placed")
+    placed = ws.store(sets.select(*own, "doc_id", "size", "digest"), "placed")
     ws.drop("sets")
     pairs, info = _product(rows, join, ws, "rows")
     links = links.unionByName(_compared(docs, classes, pairs, join, ws, "product"))
@@ -540,19 +555,20 @@ def similarity_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
     found = components(links)
     placed = placed.join(found, F.col("digest") == F.col("vertex"), "left").select(
-        "doc_id", "size", F.coalesce("component", "digest").alias("component")
-    )
-    placed = ws.store(placed, "labelled")
-    least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "component", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        *own, "doc_id", "size", F.coalesce("component", "digest").alias("component")
     )
+    return ws.store(placed, "labelled")
 
 
 def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """The whole rows of the documents with the smallest ``doc_id`` of their component, and of those
-    without one, in the input's columns."""
-    found = similarity_components(docs.select("doc_id", "text"), join)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The whole rows of the documents that rank first in their component, and of those without
+    one, in the input's columns. NULL ``doc_id`` ranks last; rows repeated with their ``doc_id`` rank
+    in the order in which they were read."""
+    ws = common.Workspace(docs.sparkSession, "ngram-rows")
+    row_id = F.monotonically_increasing_id().alias("row_id")
+    stored = ws.store(docs.select(row_id, F.struct(*docs.columns).alias("row")), "rows")
+    placed = _placed(stored.select("row_id", "row.doc_id", "row.text"), join)
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
+    least = placed.where("component is not null").groupBy("component").agg(F.min(rank).alias("first"))
+    gone = placed.join(least, "component").where("row_id != first.row_id").select("row_id")
+    return stored.join(gone, "row_id", "left_anti").select("row.*")

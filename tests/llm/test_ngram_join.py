@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from shotmarts.llm.ngram_join import Join, shingle_sets, similarity_components
+from shotmarts.llm.ngram_join import Join, one_of_each, shingle_sets, similarity_components
 from odd import words
 
 
@@ -80,3 +80,18 @@ def test_shingles_of_a_batch_do_not_mix():
     assert [len(s) for s in many] == [2, 0, 1, 2, 1, 1]
     assert (many[0] == many[3]).all()
     assert [s.tolist() for s in many] == [shingle_sets([t], 5)[0].tolist() for t in texts]
+
+
+def test_one_row_of_each_component(spark):
+    rng = random.Random(4)
+    near, other, alone = words(rng, 80), words(rng, 80), words(rng, 80)
+    text = lambda w, *last: " ".join([*w, *last])
+    rows = [
+        (1, text(near), 0), (None, text(near, "x"), 1), (None, text(near, "y"), 2),
+        (5, text(near, "z"), 3), (5, text(alone), 4),
+        (None, text(other), 5), (None, text(other, "x"), 6), (None, None, 7), (7, "", 8),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place int").coalesce(1)
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted(r.place for r in got.collect()) == [0, 4, 5, 7, 8]
