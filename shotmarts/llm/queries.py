@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotmarts.llm import (
+    clustering,
     exact,
     languages,
     mixing,
@@ -15,6 +16,7 @@ from shotmarts.llm import (
     packing,
     quality,
     repeated_lines,
+    resampling,
     sharding,
     templates,
     winnowing,
@@ -86,6 +88,14 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(read(spark, folder, "documents")).drop("row_id")
 
 
+def _resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def _clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.cluster(read(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_histogram_sort": _sharding,
@@ -98,6 +108,8 @@ def queries() -> dict[str, Query]:
         "op8_line_frequency_rules": _quality,
         "op9_curriculum_mix": _mixing,
         "op10_ngram_jaccard": _join,
+        "op11_bitsliced_resampling": _resampling,
+        "op12_lookup_kmeans": _clustering,
     }
 
 
@@ -189,6 +201,44 @@ _QUALITY_SQL = rf"""
     from judged"""
 
 
+def _kmeans_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Lloyd's rounds unrolled, one CTE pair per round."""
+    dist = f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    parts = [f"""
+    vecs as (
+        select row_number() over () as rid, vec_id, embedding as e,
+            embedding is not null and len(embedding) = {dims}
+            and coalesce(list_bool_and(list_transform(embedding, lambda y: y is not null and isfinite(y::double))), false)
+            as kept
+        from embeddings),
+    v as (select rid, vec_id, list_transform(e, lambda y: floor(256 * y::double)::bigint) as x from vecs where kept),
+    c0 as (
+        select (row_number() over (order by sha256('2:' || vec_id::varchar), array_to_string(x, ',')) - 1)::int as c, x
+        from v where vec_id is not null
+        qualify row_number() over (order by sha256('2:' || vec_id::varchar), array_to_string(x, ',')) <= {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+    a{r} as (
+        select v.rid, first(c.c order by {dist}, c.c) as c, min({dist}) as d
+        from v, c{r} c group by v.rid)""")
+        if r == rounds:
+            break
+        parts.append(f"""
+    n{r} as (
+        select a.c, i, sum(v.x[i]) as s, count(*) as n
+        from a{r} a join v using (rid), range(1, {dims + 1}) t(i) group by a.c, i),
+    c{r + 1} as (
+        select o.c, coalesce(m.x, o.x) as x from c{r} o left join (
+            select c, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as x from n{r} group by c) m
+        using (c))""")
+    return "with" + ",".join(parts) + f"""
+    select vecs.vec_id, a.c as cluster, a.d::bigint as distance,
+        (sum(a.d) over (partition by a.c))::bigint as cluster_inertia,
+        (sum(a.d) over ())::bigint as inertia,
+        sha256(array_to_string(c.x, ',')) as centroid_sha256
+    from vecs left join a{rounds} a using (rid) left join c{rounds} c on a.c = c.c"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the others, hash functions, tokenizers, parsing or components of links are beyond SQL;
     tests hold them against brute force."""
@@ -196,4 +246,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_extendible_hash": _EXACT_SQL,
         "op8_line_frequency_rules": _QUALITY_SQL,
         "op9_curriculum_mix": _MIXING_SQL,
+        "op12_lookup_kmeans": _kmeans_sql(),
     }
