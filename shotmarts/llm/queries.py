@@ -18,6 +18,7 @@ from shotmarts.llm import (
     repeated_lines,
     resampling,
     sharding,
+    suffixes,
     templates,
     winnowing,
 )
@@ -96,6 +97,10 @@ def _clustering(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.cluster(read(spark, folder, "embeddings"))
 
 
+def _suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove(read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_histogram_sort": _sharding,
@@ -110,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op10_ngram_jaccard": _join,
         "op11_bitsliced_resampling": _resampling,
         "op12_lookup_kmeans": _clustering,
+        "op13_suffix_array": _suffixes,
     }
 
 
