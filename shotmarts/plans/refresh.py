@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shotmarts.plans.marts import Marts
 from shotmarts.plans.quality import SUITE, Check, failed, run_checks
 from shotmarts.sources import documents, increments, schemas, tables
+from shotmarts.streaming.landing import Inbox
 
 # How each stored table is split into folders and sorted within files. Serving queries ask for
 # one season and one player or team.
@@ -44,10 +45,12 @@ class Landing:
 class Warehouse:
     """Raw tables and marts under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, landing: Landing):
+    def __init__(self, spark: SparkSession, root: str, landing: Landing, max_rejects: int = 100):
         self.spark = spark
         self.root = root
         self.landing = landing
+        #: Landed documents, each file parsed once, and what each loader has consumed of them.
+        self.inbox = Inbox(spark, root, max_rejects)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -85,33 +88,50 @@ class Warehouse:
 
 
 def load_games(house: Warehouse) -> None:
-    docs = documents.read_documents(house.spark, house.landing.schedule, schemas.SCHEDULE_DOC)
+    """Finished games of the schedule documents that landed since the last load."""
+    inbox = house.inbox
+    inbox.land("schedule", house.landing.schedule)
+    docs, newest = inbox.documents("schedule", inbox.consumed("games"))
     new = increments.unseen(documents.flatten_schedule(docs), house.raw_games(), ["game_id"])
     tables.append(new, house.path("raw_games"), ["season"], ["game_id"])
+    inbox.note("games", newest)
 
 
 def load_plays(
     house: Warehouse, as_of: datetime.date, lookback_days: int = documents.LOOKBACK_DAYS
 ) -> None:
-    """Shot events of recently completed games that have none yet."""
-    spark, landing = house.spark, house.landing
-    schedule = documents.read_documents(spark, landing.schedule, schemas.SCHEDULE_DOC)
+    """Shot events of recently completed games that have none yet.
+
+    The schedule is read from the stored documents, which the look-back prunes at the scan. Play
+    documents of all stored batches are candidates, as a game's may land before it is due; they are
+    Parquet by then, parsed once when they landed.
+    """
+    inbox = house.inbox
+    inbox.land("schedule", house.landing.schedule)
+    inbox.land("plays", house.landing.plays)
+    schedule, _ = inbox.documents("schedule")
     completed = documents.completed_games(schedule, as_of, lookback_days)
     wanted = increments.unprocessed_games(completed, house.raw_plays())
-    docs = documents.read_documents(spark, landing.plays, schemas.PLAYS_DOC)
+    docs, _ = inbox.documents("plays")
     # The season is the one the schedule gives.
-    docs = docs.drop("season").join(wanted.withColumnRenamed("game_id", "id"), "id")
+    docs = docs.drop("season", "source_file").join(wanted.withColumnRenamed("game_id", "id"), "id")
     events = documents.flatten_plays(increments.newest_documents(docs, "id"))
     events = events.dropDuplicates(["game_id", "event_id"])
     tables.write_games(events, house.path("raw_plays"))
 
 
 def load_players(house: Warehouse) -> None:
-    """Upsert of the landed rosters, the newest mention of a player wins; players who left stay as
-    they were."""
-    docs = documents.read_documents(house.spark, house.landing.rosters, schemas.ROSTER_DOC)
+    """Upsert of the rosters that landed since the last load, the newest mention of a player wins;
+    players who left stay as they were. Without new rosters the table is not rewritten."""
+    inbox = house.inbox
+    inbox.land("rosters", house.landing.rosters)
+    done = inbox.consumed("players")
+    docs, newest = inbox.documents("rosters", done)
+    if newest <= done:
+        return
     if house.landing.standings:
-        standings = documents.read_documents(house.spark, house.landing.standings, schemas.STANDINGS_DOC)
+        inbox.land("standings", house.landing.standings)
+        standings, _ = inbox.documents("standings")
         docs = docs.join(documents.current_teams(standings), "team_abbrev", "left_semi")
     existing, version = tables.read_snapshot(
         house.spark, house.path("raw_players"), schemas.RAW_PLAYERS
@@ -121,18 +141,22 @@ def load_players(house: Warehouse) -> None:
     stored = existing.withColumn("doc_ts", F.lit(None).cast("timestamp"))
     merged = increments.upsert(stored, batch, ["player_id"], order).drop("doc_ts")
     tables.write_snapshot(merged, house.path("raw_players"), version + 1)
+    inbox.note("players", newest)
 
 
 def load_skater_stats(house: Warehouse, year: int) -> None:
-    """Season lines of the seasons in play; finished seasons already loaded are left alone."""
+    """Season lines of the seasons in play, from the documents that landed since the last load;
+    finished seasons already loaded are left alone, and a season without new documents keeps its
+    lines."""
+    inbox = house.inbox
+    inbox.land("skater_stats", house.landing.skater_stats)
+    docs, newest = inbox.documents("skater_stats", inbox.consumed("skater_stats"))
     wanted = increments.seasons_to_refresh(house.raw_plays(), house.raw_player_stats(), year)
-    docs = documents.read_documents(
-        house.spark, house.landing.skater_stats, schemas.SKATER_STATS_DOC
-    )
     chosen = docs.join(wanted.withColumnRenamed("season", "season_id"), "season_id", "left_semi")
-    newest = increments.newest_documents(chosen, "season_id")
-    lines = documents.flatten_skater_stats(newest).dropDuplicates(["season_id", "player_id"])
+    newest_docs = increments.newest_documents(chosen, "season_id")
+    lines = documents.flatten_skater_stats(newest_docs).dropDuplicates(["season_id", "player_id"])
     tables.overwrite_partitions(lines, house.path("raw_player_stats"), ["season_id"])
+    inbox.note("skater_stats", newest)
 
 
 def build_marts(house: Warehouse) -> Marts:
