@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shotmarts.plans.marts import Marts
 from shotmarts.plans.quality import SUITE, Check, failed, run_checks
 from shotmarts.sources import documents, increments, schemas, tables
+from shotmarts.sources.manifest import GameManifest
 from shotmarts.streaming.landing import Inbox
 
 # How each stored table is split into folders and sorted within files. Serving queries ask for
@@ -102,22 +103,24 @@ def load_plays(
 ) -> None:
     """Shot events of recently completed games that have none yet.
 
-    The schedule is read from the stored documents, which the look-back prunes at the scan. Play
-    documents of all stored batches are candidates, as a game's may land before it is due; they are
-    Parquet by then, parsed once when they landed.
+    The schedule is read from the stored documents, which the look-back prunes at the scan. Stored
+    games are looked up in the manifest beside the event table, which is not read. Play documents
+    of all stored batches are candidates, as a game's may land before it is due; they are Parquet by
+    then, parsed once when they landed.
     """
     inbox = house.inbox
     inbox.land("schedule", house.landing.schedule)
     inbox.land("plays", house.landing.plays)
     schedule, _ = inbox.documents("schedule")
     completed = documents.completed_games(schedule, as_of, lookback_days)
-    wanted = increments.unprocessed_games(completed, house.raw_plays())
+    manifest = GameManifest(house.spark, house.path("raw_plays"))
+    wanted = increments.unseen(completed, manifest.games(), ["game_id"])
     docs, _ = inbox.documents("plays")
     # The season is the one the schedule gives.
     docs = docs.drop("season", "source_file").join(wanted.withColumnRenamed("game_id", "id"), "id")
+    games = wanted.join(docs.select(F.col("id").alias("game_id")), "game_id", "left_semi")
     events = documents.flatten_plays(increments.newest_documents(docs, "id"))
-    events = events.dropDuplicates(["game_id", "event_id"])
-    tables.write_games(events, house.path("raw_plays"))
+    manifest.write(events.dropDuplicates(["game_id", "event_id"]), games)
 
 
 def load_players(house: Warehouse) -> None:

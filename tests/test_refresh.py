@@ -89,3 +89,40 @@ def test_point_filters_reach_the_stored_mart(spark, landing, tmp_path):
     plan = serving.player_shots(mart, player=8470001, season=20232024)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(season" in plan and "EqualTo(shooter_id,8470001)" in plan
     assert "event_id_pk" not in plan.split("ReadSchema")[1]
+
+
+def test_stored_games_come_from_the_manifest(spark, landing, tmp_path):
+    from shotmarts.sources.manifest import GameManifest
+    from shotmarts.sources.tables import append
+
+    root = tmp_path / "house"
+    house = refresh.Warehouse(spark, str(root), landing)
+    refresh.load_games(house)
+    refresh.load_plays(house, AS_OF, ALL_SEASONS)
+    events = house.raw_plays()
+    stored = events.count()
+    manifest = GameManifest(spark, house.path("raw_plays"))
+    games = manifest.games()
+    assert games.count() == events.select("game_id").distinct().count() > 0
+    # The manifest is hidden from readers of the event table, and its read plan does not scan it.
+    assert "game_id" in events.columns and "raw_plays/_games" not in " ".join(events.inputFiles())
+    assert all("/_games/" in f for f in games.inputFiles())
+
+    # A crash between the events and the note that they are done: the batch stays pending.
+    some = events.select("game_id", "season").distinct().limit(3)
+    lost = events.join(some.select("game_id"), "game_id", "left_semi")
+    remaining = events.join(some.select("game_id"), "game_id", "left_anti")
+    tables_path = str(root / "raw_plays_rebuilt")
+    append(remaining, tables_path, ["season"], ["game_id", "event_id"])
+    rebuilt = GameManifest(spark, tables_path)
+    assert rebuilt.games().count() == games.count() - 3  # built once from the table
+    rebuilt._write(some, "pending", "crashed")
+    append(lost, tables_path, ["season"], ["game_id", "event_id"])
+    assert rebuilt.games().count() == games.count()  # settled: its events had committed
+    rebuilt._write(spark.createDataFrame([(99999999, 20232024)], "game_id bigint, season int"), "pending", "empty")
+    assert rebuilt.games().count() == games.count()  # nothing committed: dropped, loaded again later
+    assert not rebuilt._batches("pending")
+
+    # A second load finds every completed game stored and writes nothing.
+    refresh.load_plays(house, AS_OF, ALL_SEASONS)
+    assert house.raw_plays().count() == stored
