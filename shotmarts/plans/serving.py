@@ -28,7 +28,7 @@ from shotmarts.functions.shots import (
     mirrored,
     shot_class,
 )
-from shotmarts.operators.joins import lookup, narrow
+from shotmarts.operators.joins import join_null_safe, lookup, narrow
 from shotmarts.operators.ranks import league_rank
 from shotmarts.operators.windows import (
     last_n,
@@ -418,7 +418,8 @@ def split_records(team_games: DataFrame, n: int = RECENT_GAMES) -> DataFrame:
     venues = team_games.groupBy(*TEAM_SEASON).agg(*records("home", home), *records("away", ~home))
     recent = last_n(team_games.select(*TEAM_SEASON, "game_id", "result"), TEAM_SEASON, "game_id", n)
     lately = recent.groupBy(*TEAM_SEASON).agg(*records("last", F.lit(True)))
-    return venues.join(lately, list(TEAM_SEASON))
+    # A club or season may be NULL: such rows are a group of their own, as in the grouping.
+    return join_null_safe(venues, lately, list(TEAM_SEASON), "inner")
 
 
 def team_rolling_xg_pct(log: DataFrame, games: int = ROLLING_SHARE_GAMES) -> DataFrame:

@@ -84,9 +84,15 @@ def publish(spark: SparkSession, path: str) -> None:
         fs.delete(_file_system(spark, f"{path}/version-{n}")[0], True)
 
 
+class NotPublished(Exception):
+    """A table has no version that passed its checks."""
+
+
 def published(spark: SparkSession, path: str) -> DataFrame:
     seen = [n for n, is_published in _versions(spark, path).items() if is_published]
-    return spark.read.parquet(f"{path}/version-{max(seen, default=0)}")
+    if not seen:
+        raise NotPublished(f"no published version of {path}")
+    return spark.read.parquet(f"{path}/version-{max(seen)}")
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by: Sequence[str]) -> None:

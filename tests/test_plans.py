@@ -70,3 +70,15 @@ def test_shots_are_added_up_once(spark, name):
 def test_entry(spark):
     df = registry.entry(spark)
     assert df.count() == 30 and "sh_pct_pctile" in df.columns
+
+
+def test_split_records_keep_a_null_club(spark):
+    from shotmarts.plans import serving
+
+    rows = [(None, 20242025, g, g % 2 == 0, "W" if g % 3 else "L") for g in range(1, 6)]
+    rows += [("BOS", 20242025, 9, True, "OTL")]
+    games = spark.createDataFrame(rows, "team_abbrev string, season int, game_id long, is_home boolean, result string")
+    got = {r.team_abbrev: r for r in serving.split_records(games).collect()}
+    assert set(got) == {None, "BOS"}
+    assert (got[None].home_w, got[None].away_w, got[None].away_l, got[None].last_w) == (2, 2, 1, 4)
+    assert got["BOS"].home_otl == 1

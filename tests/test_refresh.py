@@ -8,6 +8,7 @@ import pytest
 from shotmarts.plans import quality, refresh
 from shotmarts.plans.marts import Marts
 from shotmarts.sources import trial_documents as td
+from shotmarts.sources.tables import NotPublished
 from shotmarts.sources.trial_tables import TrialTables
 
 AS_OF = datetime.date(2026, 6, 30)
@@ -57,7 +58,7 @@ def test_refresh(spark, landing, tmp_path):
     assert before["raw_games"] == 58 and before["raw_players"] == 50 and before["raw_player_stats"] == 126
     stamps = house.raw_plays().agg({"ingested_at": "max"}).first()
 
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(NotPublished, match="mart_shot_events"):
         house.mart("mart_shot_events")  # checks failed, nothing is published
 
     marts = run(checks)
