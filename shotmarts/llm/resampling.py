@@ -11,7 +11,8 @@ way, ``G+_j`` and ``G-_j``. Then exactly
 
     weight = sum_ij 2^(i+j) * (popcount(C_i & G+_j) - popcount(C_i & G-_j)).
 
-The counts of the corpus are JVM aggregates over all words (combined before the shuffle, at most
+Texts are tokenised once, in Python over UTF-8 bytes, into sparse bucket counts per document, which
+are stored; the corpus counts are a JVM aggregate over them (combined before the shuffle, at most
 10000 rows leave a task). The gain planes are 10000 bits each, fixed in size whatever the input, and
 go to every task with the Python function; the planes of a batch of documents are NumPy arrays.
 
@@ -34,6 +35,8 @@ Odd rows:
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,56 +54,53 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def words(text: Column | str = "text") -> Column:
-    """Words of the text after A-Z is lower-cased; an empty array for NULL."""
-    lowered = F.translate(common.whole_text(text), UPPER, LOWER)
-    return F.regexp_extract_all(lowered, F.lit(WORD), 0)
+#: Words on UTF-8 bytes: every byte of a multi-byte character is at least 0x80, so this is the
+#: pattern above on code points.
+_WORD_BYTES = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
-def features(text: Column | str = "text", n: int = 1) -> Column:
-    """All runs of 1 to ``n`` consecutive words, joined by one space, in the order of their length."""
-    w = words(text)
-    runs = [w]
+def features(text: bytes | None, n: int = 1) -> tuple[int, list[bytes]]:
+    """(number of words, all runs of 1 to ``n`` consecutive words joined by one space)."""
+    words = _WORD_BYTES.findall((text or b"").translate(_LOWER))
+    runs = list(words)
     for k in range(2, n + 1):
-        joined = F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i, k=k: F.array_join(F.slice(w, i, k), " "))
-        runs.append(F.when(F.size(w) >= k, joined).otherwise(F.array().cast("array<string>")))
-    return F.flatten(F.array(*runs)) if n > 1 else w
+        runs += [b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)]
+    return len(words), runs
 
 
-def buckets(text: Column | str = "text", n: int = 1) -> Column:
-    """Bucket of each feature: unsigned crc32 of its UTF-8 bytes, modulo the number of buckets."""
-    return F.transform(features(text, n), lambda f: (F.crc32(f.cast("binary")) % BUCKETS).cast("int"))
+def counted(texts: DataFrame, n: int = 1) -> DataFrame:
+    """Per row of (row_id, doc_id, text): n_words, n_features and the sparse bucket counts
+    (``buckets`` ascending, ``counts``). Texts are tokenised once, here."""
 
+    def work(rows: list[dict]) -> Iterator[tuple]:
+        for row in rows:
+            n_words, found = features(row["t"], n)
+            b = np.fromiter((zlib.crc32(f) % BUCKETS for f in found), np.int32, len(found))
+            at, c = np.unique(b, return_counts=True)
+            yield row["row_id"], row["doc_id"], n_words, len(found), at.tolist(), c.tolist()
 
-def bucket_counts(texts: DataFrame, n: int = 1) -> DataFrame:
-    """(bucket, count) over all features of all texts; JVM-side, combined in each task."""
-    return (
-        texts.select(F.explode(buckets("text", n)).alias("bucket"))
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
-
+    prepared = texts.select("row_id", "doc_id", F.col("text").cast("binary").alias("t"))
+    schema = "row_id long, doc_id long, n_words long, n_features long, buckets array<int>, counts array<int>"
+    return common.map_rows(prepared, schema, work, rows=2_000)
 
-def gains(docs: DataFrame, target: DataFrame, n: int = 1) -> np.ndarray:
-    """Gain of every bucket, as int64. The table is 10000 rows, whatever the input."""
-    spark = docs.sparkSession
-    s = bucket_counts(docs.select("text"), n).withColumnRenamed("count", "s")
-    t = bucket_counts(target.select("text"), n).withColumnRenamed("count", "t")
-    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    table = every.join(s, "bucket", "left").join(t, "bucket", "left").fillna(0, ["s", "t"])
-    totals = F.sum("s").over(_all()), F.sum("t").over(_all())
-    ratio = ((F.col("t") + 1.0) * (totals[0] + 10000.0)) / ((F.col("s") + 1.0) * (totals[1] + 10000.0))
-    rows = table.select("bucket", F.floor(1000.0 * F.ln(ratio)).cast("long").alias("gain")).collect()
-    out = np.zeros(BUCKETS, np.int64)
-    for r in rows:
-        out[r.bucket] = r.gain
-    return out
 
+def bucket_counts(counts: DataFrame) -> DataFrame:
+    """(bucket, count) over all rows of sparse counts; combined in each task, at most 10000 rows."""
+    pairs = counts.select(F.explode(F.arrays_zip("buckets", "counts")).alias("p"))
+    return pairs.groupBy(F.col("p.buckets").alias("bucket")).agg(F.sum("p.counts").alias("count"))
 
-def _all():
-    from pyspark.sql import Window
 
-    return Window.partitionBy()
+def gains(docs: DataFrame, target: DataFrame) -> np.ndarray:
+    """Gain of every bucket, as int64, from sparse counts of documents and target texts. The table
+    is 10000 rows, whatever the input."""
+    totals = [
+        {r.bucket: r["count"] for r in bucket_counts(side).collect()} for side in (docs, target)
+    ]
+    s = np.array([totals[0].get(b, 0) for b in range(BUCKETS)], np.float64)
+    t = np.array([totals[1].get(b, 0) for b in range(BUCKETS)], np.float64)
+    ratio = ((t + 1.0) * (s.sum() + 10000.0)) / ((s + 1.0) * (t.sum() + 10000.0))
+    return np.floor(1000.0 * np.log(ratio)).astype(np.int64)
 
 
 def planes(values: np.ndarray) -> np.ndarray:
@@ -128,29 +128,30 @@ def sliced_weights(counts: np.ndarray, gain_planes: tuple[np.ndarray, np.ndarray
     return total
 
 
-def weigh(docs: DataFrame, gain: np.ndarray, n: int = 1, batch: int = 256) -> DataFrame:
-    """Adds ``n_features`` and ``weight`` (long) to (row_id, doc_id); JVM finds the buckets, NumPy sums."""
+def weigh(counts: DataFrame, gain: np.ndarray, batch: int = 256) -> DataFrame:
+    """(row_id, doc_id, n_words, n_features, weight) from sparse counts; NumPy sums bit planes."""
     gain_planes = (planes(np.maximum(gain, 0)[None])[0], planes(np.maximum(-gain, 0)[None])[0])
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in source:
             for start in range(0, whole.num_rows, batch):
                 part = whole.slice(start, batch)
-                lists = part.column("b")
-                sizes = np.diff(lists.offsets.to_numpy())
-                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                at, c = part.column("buckets"), part.column("counts")
+                sizes = np.diff(at.offsets.to_numpy())
                 owner = np.repeat(np.arange(len(sizes)), sizes)
-                counts = np.bincount(owner * BUCKETS + flat, minlength=len(sizes) * BUCKETS)
-                weights = sliced_weights(counts.reshape(len(sizes), BUCKETS), gain_planes)
+                dense = np.zeros(len(sizes) * BUCKETS, np.int64)
+                dense[owner * BUCKETS + at.flatten().to_numpy(zero_copy_only=False)] = (
+                    c.flatten().to_numpy(zero_copy_only=False)
+                )
+                weights = sliced_weights(dense.reshape(len(sizes), BUCKETS), gain_planes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row_id"), part.column("doc_id"), part.column("n_words"),
-                     pa.array(sizes, pa.int64()), pa.array(weights, pa.int64())],
+                     part.column("n_features"), pa.array(weights, pa.int64())],
                     names=["row_id", "doc_id", "n_words", "n_features", "weight"],
                 )
 
-    common.ship(docs.sparkSession)
-    prepared = docs.select("row_id", "doc_id", F.size(words("text")).cast("long").alias("n_words"), buckets("text", n).alias("b"))
-    return prepared.mapInArrow(batches, "row_id long, doc_id long, n_words long, n_features long, weight long")
+    common.ship(counts.sparkSession)
+    return counts.mapInArrow(batches, "row_id long, doc_id long, n_words long, n_features long, weight long")
 
 
 def noise(doc_id: Column | str = "doc_id") -> Column:
@@ -171,8 +172,10 @@ def resample(
     spark = docs.sparkSession
     ws = common.Workspace(spark, "resampling")
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
-    gain = gains(rows, target.select("text"), n)
-    weighed = weigh(rows, gain, n)
+    counts = ws.store(counted(rows, n), "counts")
+    aims = counted(target.select(F.lit(0).cast("long").alias("row_id"), F.lit(None).cast("long").alias("doc_id"), "text"), n)
+    gain = gains(counts, aims)
+    weighed = weigh(counts, gain)
     eligible = F.col("doc_id").isNotNull() & (F.col("n_words") >= least_words)
     scored = weighed.select(
             "row_id", "doc_id", "n_features", "weight",
@@ -182,12 +185,15 @@ def resample(
     # Range partitions by (score desc, doc_id, row_id): Spark samples the splitters; the row_id
     # splits even rows that agree in all else.
     order = [F.col("eligible").desc(), F.col("score").desc_nulls_last(), F.col("doc_id").asc_nulls_last(), "row_id"]
+    scored = ws.store(scored, "scored")
+    ws.drop("counts")
     ordered = (
         scored.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("at", F.monotonically_increasing_id())
     )
     stored = ws.store(ordered, "ordered")
+    ws.drop("scored")
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = stored.where("eligible").groupBy(part.alias("part")).count().collect()
     total = sum(r["count"] for r in sizes)
