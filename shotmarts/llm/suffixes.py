@@ -6,10 +6,14 @@ Windows are judged on the input, so overlapping repeated windows all count.
 
 How repeats are found (the method, a distributed suffix sort cut at ``length`` bytes):
 
+0. Exact copies. Texts are keyed by SHA-256; every window of a text with a copy starts elsewhere,
+   so such rows lose all bytes (if they have a window). Of each distinct text only its least row
+   goes on, as a partner of the others: a group of thousands of copies adds one text's records.
 1. Candidates. Only windows near a repeated anchor can repeat. Anchors are chosen by winnowing
    ``k``-byte grams over windows of ``length - k + 1`` grams, so a repeated window has an anchor at
-   the same place in both occurrences; anchors whose gram occurs twice or more (a JVM count,
-   combined in each task) mark the window starts within ``length - k`` bytes before them.
+   the same place in both occurrences; anchors whose gram occurs at two or more places of distinct
+   texts (a JVM count, combined in each task) mark the window starts within ``length - k`` bytes
+   before them.
 2. Suffixes. Each candidate start becomes a record: its leading 8 bytes, two independent 64-bit
    fingerprints of its whole window, the row and the place.
 3. Range partitions. Spark samples splitters over (leading bytes, fingerprints, row, place) and
@@ -152,41 +156,46 @@ def _bytes(value) -> np.ndarray:
 
 def find_spans(
     docs: DataFrame, length: int = 200, k: int = 32, most_slice: int = 8 << 20
-) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): texts (row_id, doc_id, t binary) stored once; spans (row_id, start, end) of
-    removed bytes, maximal, end exclusive."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, spans, copied): texts (row_id, doc_id, t binary, key) stored once; spans (row_id,
+    start, end) of removed bytes among distinct texts, maximal, end exclusive; copied (row_id) the
+    rows whose text has an exact copy, all of whose windows repeat."""
     spark = docs.sparkSession
     ws = common.Workspace(spark, "suffixes")
     assert k % 8 == 0 and k <= length, "grams are whole 8-byte words and fit a window"
+    t = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     texts = ws.store(
-        docs.select(
-            F.monotonically_increasing_id().alias("row_id"), "doc_id",
-            F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("t"),
-        ),
+        docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", t.alias("t"), F.sha2(t, 256).alias("key")),
         "texts",
     )
+    # Exact copies: all windows of a text that has a copy start elsewhere. Only the least row of each
+    # text takes part in the sort, as the partner of other texts; only keys and ids are shuffled.
+    copies = texts.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
     common.ship(spark)
     reach = length - k
 
     def picked(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            rows, places, hashes = [], [], []
-            for row_id, t in zip(batch.column("row_id").to_pylist(), batch.column("t").to_pylist(), strict=True):
+            rows, places, hashes, keys = [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("row_id", "t", "key"))
+            for row_id, t, key in zip(*columns, strict=True):
                 b = _bytes(t)
                 for lo, hi in slices(len(b), length, most_slice):
                     at, g = anchors(b[lo:hi], length, k)
                     rows.append(np.full(len(at), row_id, np.int64))
                     places.append(at + lo)
                     hashes.append(g.view(np.int64))
+                    keys += [key] * len(at)
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(hashes)), pa.array(np.concatenate(rows)),
-                     pa.array(np.concatenate(places))],
-                    names=["g", "row_id", "pos"],
+                     pa.array(np.concatenate(places)), pa.array(keys, pa.string())],
+                    names=["g", "row_id", "pos", "key"],
                 )
 
-    found = texts.select("row_id", "t").mapInArrow(picked, "g long, row_id long, pos long").dropDuplicates()
-    found = ws.store(found, "anchors")
+    found = texts.select("row_id", "t", "key").mapInArrow(picked, "g long, row_id long, pos long, key string")
+    # One place per distinct text (its least row): copies neither repeat an anchor nor add records.
+    found = ws.store(found.groupBy("g", "key", "pos").agg(F.min("row_id").alias("row_id")).drop("key"), "anchors")
     repeated = found.groupBy("g").count().where("count > 1").select("g")
     near = found.join(repeated, "g", "left_semi").groupBy("row_id").agg(F.sort_array(F.collect_list("pos")).alias("near"))
 
@@ -292,7 +301,9 @@ def find_spans(
         starts.repartition("row_id").sortWithinPartitions("row_id", "pos")
         .mapInArrow(merged, "row_id long, start long, end long")
     )
-    return texts, spans
+    # Rows of texts with copies lose every window; their least row may have spans as well.
+    copied = texts.select("row_id", "key").join(copies.where("copies > 1").select("key"), "key", "left_semi")
+    return texts, spans, copied.select("row_id")
 
 
 _MARKS = ["kind", "part", "lead", "f1", "f2", "marked", "row_id", "pos"]
@@ -344,16 +355,25 @@ def _across(edges: list) -> list[tuple[int, int]]:
 
 def remove(docs: DataFrame, length: int = 200, k: int = 32) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans (long), kept_sha256 (of the remaining bytes)."""
-    texts, spans = find_spans(docs, length, k)
-    per_row = spans.groupBy("row_id").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")
-    )
-    joined = texts.join(per_row, "row_id", "left").select("doc_id", "t", "spans")
+    texts, spans, copied = find_spans(docs, length, k)
     return common.map_rows(
-        joined, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", _kept, rows=2_000
+        joined_spans(texts, spans, copied, length),
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", _kept, rows=2_000,
     )
 
 
+def joined_spans(texts: DataFrame, spans: DataFrame, copied: DataFrame, length: int) -> DataFrame:
+    """Each text with its removed spans; a text with a copy is one span from 0 if it has a window."""
+    whole = copied.select("row_id", F.lit(True).alias("copied"))
+    listed = spans.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    per_row = whole.join(listed, "row_id", "full")
+    joined = texts.join(per_row, "row_id", "left")
+    n = F.octet_length("t").cast("long")
+    all_of = F.array(F.struct(F.lit(0).cast("long").alias("start"), n.alias("end")))
+    spans_of = F.when(F.coalesce("copied", F.lit(False)) & (n >= length), all_of).otherwise(F.col("spans"))
+    return joined.select("doc_id", "t", spans_of.alias("spans"))
+
+
 def _kept(rows: list[dict]) -> Iterator[tuple]:
     import hashlib
 

@@ -57,19 +57,14 @@ def test_remove_against_brute_force(spark, odd_docs, length, k, most_slice, part
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     rows += [(300 + i, " ".join(words(rng, rng.randrange(0, 40), 30)) + (shared if i % 4 == 0 else "")) for i in range(60)]
     rows += [(400, "ab" * 300), (401, "x" * (length - 1)), (402, "é漢" * 40), (403, None)]
+    rows += [(500 + i, shared + " tail") for i in range(5)] + [(600, "y" * (length - 1))] * 3
     docs = spark.createDataFrame([(d, t, "clash") for d, t in rows], "doc_id long, text string, kept_sha256 string")
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        texts, spans = suffixes.find_spans(docs.repartition(4), length, k, most_slice)
+        texts, spans, copied = suffixes.find_spans(docs.repartition(4), length, k, most_slice)
         got = suffixes.common.map_rows(
-            texts.join(
-                spans.groupBy("row_id").agg(
-                    suffixes.F.sort_array(suffixes.F.collect_list(suffixes.F.struct("start", "end"))).alias("spans")
-                ),
-                "row_id",
-                "left",
-            ).select("doc_id", "t", "spans"),
+            suffixes.joined_spans(texts, spans, copied, length),
             "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
             suffixes._kept,
         ).collect()
