@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shotmarts.plans.marts import Marts
 from shotmarts.plans.quality import SUITE, Check, failed, run_checks
 from shotmarts.sources import documents, increments, schemas, tables
+from shotmarts.sources.buckets import BucketedTable
 from shotmarts.sources.manifest import GameManifest
 from shotmarts.streaming.landing import Inbox
 
@@ -69,8 +70,12 @@ class Warehouse:
     def raw_player_stats(self) -> DataFrame:
         return self._table("raw_player_stats", schemas.RAW_PLAYER_STATS)
 
+    def players_table(self) -> BucketedTable:
+        """Players in hash buckets of their id: an upsert rewrites only the buckets it touches."""
+        return BucketedTable(self.spark, self.path("raw_players"), schemas.RAW_PLAYERS, "player_id")
+
     def raw_players(self) -> DataFrame:
-        return tables.read_snapshot(self.spark, self.path("raw_players"), schemas.RAW_PLAYERS)[0]
+        return self.players_table().read()
 
     def raw_xg_shots(self) -> DataFrame:
         return documents.read_xg(self.spark, self.landing.xg, self.landing.xg_format)
@@ -125,7 +130,8 @@ def load_plays(
 
 def load_players(house: Warehouse) -> None:
     """Upsert of the rosters that landed since the last load, the newest mention of a player wins;
-    players who left stay as they were. Without new rosters the table is not rewritten."""
+    players who left stay as they were. Only the hash buckets of the batch's players are rewritten;
+    without new rosters nothing is."""
     inbox = house.inbox
     inbox.land("rosters", house.landing.rosters)
     done = inbox.consumed("players")
@@ -136,14 +142,9 @@ def load_players(house: Warehouse) -> None:
         inbox.land("standings", house.landing.standings)
         standings, _ = inbox.documents("standings")
         docs = docs.join(documents.current_teams(standings), "team_abbrev", "left_semi")
-    existing, version = tables.read_snapshot(
-        house.spark, house.path("raw_players"), schemas.RAW_PLAYERS
-    )
     batch = documents.flatten_roster(docs, carry=["doc_ts"])
     order = [F.col("doc_ts").desc_nulls_last(), F.col("team_abbrev").asc_nulls_last()]
-    stored = existing.withColumn("doc_ts", F.lit(None).cast("timestamp"))
-    merged = increments.upsert(stored, batch, ["player_id"], order).drop("doc_ts")
-    tables.write_snapshot(merged, house.path("raw_players"), version + 1)
+    house.players_table().upsert(batch, order, stamp="doc_ts")
     inbox.note("players", newest)
 
 

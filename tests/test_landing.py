@@ -57,7 +57,7 @@ def test_bad_roster_costs_one_club_and_is_kept(spark, tmp_path):
     assert all(r.landing == "rosters" and r.source_file.endswith("r.json") for r in rejects.values())
     # Nothing new: the player table is not written again.
     refresh.load_players(house)
-    assert len(list((tmp_path / "house" / "raw_players").glob("snapshot=*"))) == 1
+    assert [p.name for p in (tmp_path / "house" / "raw_players").glob("v=*")] == ["v=1"]
 
 
 def test_too_many_rejects_stop_the_load_until_mended(spark, tmp_path):
@@ -72,3 +72,26 @@ def test_too_many_rejects_stop_the_load_until_mended(spark, tmp_path):
     assert rows_read(again.land("rosters", str(source))) == 3
     assert again.documents("rosters")[0].count() == 1 and again.rejects().count() == 2
     assert TooManyRejects.__doc__
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from shotmarts.sources.buckets import BucketedTable
+
+    schema = "player_id bigint, team_abbrev string"
+    table = BucketedTable(spark, str(tmp_path / "players"), schema, "player_id", buckets=8)
+    first = spark.createDataFrame([(i, "BOS") for i in range(40)], schema).withColumn("doc_ts", F.lit(1))
+    order = [F.col("doc_ts").desc_nulls_last()]
+    assert len(table.upsert(first, order, stamp="doc_ts")) == 8
+    reader = table.read()  # taken before the next batch
+    one = spark.createDataFrame([(3, "TOR"), (100, "MTL")], schema).withColumn("doc_ts", F.lit(2))
+    touched = table.upsert(one, order, stamp="doc_ts")
+    assert len(touched) <= 2
+    written = {p.name for p in (tmp_path / "players" / "v=2").glob("bucket=*")}
+    assert written == {f"bucket={b}" for b in touched}
+    now = {r.player_id: r.team_abbrev for r in table.read().collect()}
+    assert len(now) == 41 and now[3] == "TOR" and now[100] == "MTL" and now[4] == "BOS"
+    assert {r.player_id: r.team_abbrev for r in reader.collect()}[3] == "BOS"  # old or new, never both
+    table.upsert(one.withColumn("doc_ts", F.lit(3)), order, stamp="doc_ts")
+    assert not (tmp_path / "players" / "v=1").exists() or table._read_pointer("_previous")
