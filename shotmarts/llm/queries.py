@@ -245,6 +245,69 @@ def _kmeans_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
     from vecs left join a{rounds} a using (rid) left join c{rounds} c on a.c = c.c"""
 
 
+def _crc32_sql(word: str) -> str:
+    """Unsigned crc32 of a word's UTF-8 bytes, needing the table ``tbl`` of a row in scope. The
+    bytes come from code points by UTF-8's rule."""
+    cp = "unicode(ch)"
+    utf8 = (
+        f"flatten(list_transform(string_split({word}, ''), lambda ch: case"
+        f" when {cp} < 128 then [{cp}::bigint]"
+        f" when {cp} < 2048 then [192 | ({cp} >> 6), 128 | ({cp} & 63)]::bigint[]"
+        f" when {cp} < 65536 then [224 | ({cp} >> 12), 128 | (({cp} >> 6) & 63), 128 | ({cp} & 63)]::bigint[]"
+        f" else [240 | ({cp} >> 18), 128 | (({cp} >> 12) & 63), 128 | (({cp} >> 6) & 63),"
+        f" 128 | ({cp} & 63)]::bigint[] end))"
+    )
+    step = "lambda c, b: xor(tbl[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce({utf8}, {step}, 4294967295::bigint), 4294967295::bigint)"
+
+
+#: crc32's table, built by its rule from the reflected polynomial 0xEDB88320.
+_CRC_TABLE = (
+    "list_transform(range(256), lambda n: list_reduce(range(8),"
+    " lambda c, i: if(c & 1 = 1, xor(3988292384::bigint, c >> 1), c >> 1), n::bigint))"
+)
+
+
+def _resampling_sql(percent: int = 10, least_words: int = 20) -> str:
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+        r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+    with crc as (select {_CRC_TABLE} as tbl),
+    docs as (select row_number() over () as rid, doc_id, {words} as w from documents),
+    doc_words as (select rid, unnest(w) as word from docs),
+    aim_words as (select unnest({words}) as word from benchmark),
+    vocabulary as (
+        select word, {_crc32_sql("word")} % 10000 as bucket
+        from (select word from doc_words union select word from aim_words), crc),
+    s as (select bucket, count(*) as s from doc_words join vocabulary using (word) group by bucket),
+    t as (select bucket, count(*) as t from aim_words join vocabulary using (word) group by bucket),
+    totals as (select (select count(*) from doc_words) as big_s, (select count(*) from aim_words) as big_t),
+    gains as (
+        select b.bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::double * (big_s + 10000)::double)
+            / ((coalesce(s, 0) + 1)::double * (big_t + 10000)::double)))::bigint as gain
+        from (select unnest(range(10000)) as bucket) b left join s using (bucket) left join t using (bucket),
+            totals),
+    weights as (
+        select rid, sum(gain)::bigint as weight from doc_words join vocabulary using (word)
+            join gains using (bucket) group by rid),
+    scored as (
+        select doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+            (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::varchar), 1, 8))::bigint
+                + 0.5) / 4294967296))))::bigint as score,
+            doc_id is not null and len(w) >= {least_words} as eligible
+        from docs left join weights using (rid)),
+    ranked as (
+        select *, case when eligible then row_number() over (
+            order by eligible desc, score desc, doc_id) end as place,
+            count(*) filter (eligible) over () as n
+        from scored)
+    select doc_id, n_features, weight, score,
+        case when place <= {percent} * n // 100 then place end::bigint as rank
+    from ranked"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the others, hash functions, tokenizers, parsing or components of links are beyond SQL;
     tests hold them against brute force."""
@@ -252,5 +315,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_extendible_hash": _EXACT_SQL,
         "op8_line_frequency_rules": _QUALITY_SQL,
         "op9_curriculum_mix": _MIXING_SQL,
+        "op11_bitsliced_resampling": _resampling_sql(),
         "op12_lookup_kmeans": _kmeans_sql(),
     }

@@ -14,6 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(text.oracle_sql()))
 def test_like_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     expected = con.execute(text.oracle_sql()[name]).to_arrow_table()
     assert differences(text.queries()[name](spark, FOLDER).toArrow(), expected) is None
