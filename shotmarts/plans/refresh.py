@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shotmarts.plans.marts import Marts
 from shotmarts.plans.quality import SUITE, Check, failed, run_checks
 from shotmarts.sources import documents, increments, schemas, tables
+from shotmarts.plans.runlog import Publication, RunLog
 from shotmarts.sources.buckets import BucketedTable
 from shotmarts.sources.manifest import GameManifest
 from shotmarts.streaming.landing import Inbox
@@ -81,13 +82,23 @@ class Warehouse:
         return documents.read_xg(self.spark, self.landing.xg, self.landing.xg_format)
 
     def mart(self, name: str) -> DataFrame:
-        """A mart as last published."""
-        return tables.published(self.spark, self.path(name))
+        """A mart as last published: all marts change with one pointer."""
+        try:
+            pointer = Publication(self.spark, self.root).current()
+        except tables.NotPublished as error:
+            raise tables.NotPublished(f"{name}: {error}") from None
+        return self.spark.read.parquet(pointer[name])
+
+    def marts(self, stored: dict[str, str] | None = None) -> Marts:
+        """Marts built as new versions (``built`` names them), or read from ``stored`` versions."""
+        self.built: dict[str, str] = {}
 
-    def marts(self) -> Marts:
         def keep(df: DataFrame, name: str) -> DataFrame:
+            if stored is not None:
+                return self.spark.read.schema(df.schema).parquet(stored[name])
             partition_by, cluster_by = LAYOUT[name]
             version = tables.next_version(self.spark, self.path(name))
+            self.built[name] = version
             return tables.materialise(df, version, partition_by, cluster_by)
 
         return Marts(self, keep=keep)
@@ -187,18 +198,38 @@ def refresh(
     lookback_days: int = documents.LOOKBACK_DAYS,
     checks: tuple[Check, ...] = SUITE,
 ) -> Marts:
-    """One daily run. A step that fails ends the run; a rerun continues from what was stored.
+    """One daily run. A step that fails ends the run; a rerun for the same day starts at that step.
 
-    Marts are built beside those in use and published after their checks, so a failed run leaves
+    Each finished step is logged with its inputs (``plans/runlog.py``): loads once a day, marts once
+    per load, checks per set of checks and marts, publishing per set of marts. Marts are built beside
+    those in use and published together by one pointer after their checks, so a failed run leaves
     readers the marts they had.
     """
     house = Warehouse(spark, root, landing)
-    load_games(house)
-    load_plays(house, as_of, lookback_days)
-    load_players(house)
-    load_skater_stats(house, as_of.year)
-    marts = build_marts(house)
-    assert_quality(marts, checks)
-    for name in LAYOUT:
-        tables.publish(spark, house.path(name))
+    log = RunLog(spark, root, as_of.isoformat())
+    loads = {
+        "load_games": lambda: load_games(house),
+        "load_plays": lambda: load_plays(house, as_of, lookback_days),
+        "load_players": lambda: load_players(house),
+        "load_skater_stats": lambda: load_skater_stats(house, as_of.year),
+    }
+    for step, work in loads.items():
+        if log.done(step, lookback_days) is None:
+            work()
+            log.finish(step, lookback_days)
+    built = log.done("build_marts")
+    if built is None:
+        marts = build_marts(house)
+        versions = dict(house.built)
+        log.finish("build_marts", None, versions)
+    else:
+        versions = built
+        marts = house.marts(stored=versions)
+    names = sorted(repr(c) for c in checks)
+    if log.done("checks", [versions, names]) is None:
+        assert_quality(marts, checks)
+        log.finish("checks", [versions, names])
+    if log.done("publish", versions) is None:
+        Publication(spark, root).publish(versions)
+        log.finish("publish", versions)
     return marts

@@ -127,3 +127,37 @@ def test_stored_games_come_from_the_manifest(spark, landing, tmp_path):
     # A second load finds every completed game stored and writes nothing.
     refresh.load_plays(house, AS_OF, ALL_SEASONS)
     assert house.raw_plays().count() == stored
+
+
+def test_a_rerun_starts_at_the_failed_step(spark, landing, tmp_path, monkeypatch):
+    root = str(tmp_path / "house")
+    calls = []
+    for name in ("load_games", "load_plays", "load_players", "load_skater_stats", "build_marts"):
+        original = getattr(refresh, name)
+
+        def counted(*args, _original=original, _name=name, **kwargs):
+            calls.append(_name)
+            return _original(*args, **kwargs)
+
+        monkeypatch.setattr(refresh, name, counted)
+    checks = tuple(c for c in quality.SUITE if (c.table, c.label) not in KNOWN_BAD)[:3]
+
+    def broken(house):
+        raise RuntimeError("killed in step 3")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(refresh, "load_players", broken)
+        with pytest.raises(RuntimeError, match="step 3"):
+            refresh.refresh(spark, root, landing, AS_OF, ALL_SEASONS, checks)
+    assert calls == ["load_games", "load_plays"]
+    calls.clear()
+    marts = refresh.refresh(spark, root, landing, AS_OF, ALL_SEASONS, checks)
+    assert calls == ["load_players", "load_skater_stats", "build_marts"]
+    house = refresh.Warehouse(spark, root, landing)
+    assert house.mart("mart_team_games").count() == marts.team_games.count() > 0
+    calls.clear()
+    refresh.refresh(spark, root, landing, AS_OF, ALL_SEASONS, checks)
+    assert calls == []  # all done: nothing runs again
+    # All marts are named by one pointer; each mart has one version on disk.
+    assert len(list((tmp_path / "house" / "_published").glob("*.json"))) == 1
+    assert [p.name for p in (tmp_path / "house" / "mart_shot_events").glob("version-*")] == ["version-1"]
