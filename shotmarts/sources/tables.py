@@ -37,20 +37,28 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def materialise(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    bloom: Sequence[str] | None = None,
 ) -> DataFrame:
     """Overwrite a table and return it as read from storage.
 
-    Rows are range-partitioned on the partition columns plus ``cluster_by``: files stay of even
-    size when one season holds most rows, and the min/max statistics of files and row groups
-    let point filters skip most of them.
+    Rows are rebalanced on the partition columns: at run time AQE splits a partition that one
+    season makes large into files of the advisory size, so files stay even without the sampling
+    pass of a range partitioning, and the plan of ``df`` runs once. Within files rows are sorted by
+    the partition and cluster columns, so min/max statistics of row groups skip most of them on a
+    point filter, and Parquet Bloom filters on the ``bloom`` columns (by default the id columns
+    among ``cluster_by``) skip row groups whose range holds a key they do not have.
     """
     order = [*partition_by, *cluster_by]
     if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(path)
+        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*order)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    for column in [c for c in cluster_by if c.endswith("_id")] if bloom is None else bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -95,3 +95,27 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     assert {r.player_id: r.team_abbrev for r in reader.collect()}[3] == "BOS"  # old or new, never both
     table.upsert(one.withColumn("doc_ts", F.lit(3)), order, stamp="doc_ts")
     assert not (tmp_path / "players" / "v=1").exists() or table._read_pointer("_previous")
+
+
+def test_materialise_runs_the_plan_once_with_bloom_filters(spark, tmp_path):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from shotmarts.sources.tables import materialise
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("long")
+    def counted(ids: pd.Series) -> pd.Series:
+        seen.add(len(ids))
+        return ids
+
+    df = spark.range(3000).select((F.col("id") % 3).alias("season"), counted("id").alias("shooter_id"))
+    out = materialise(df, str(tmp_path / "mart"), ["season"], ["shooter_id"])
+    assert seen.value == 3000 and out.count() == 3000  # no sampling pass over the plan
+    jvm = spark._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    file = next((tmp_path / "mart" / "season=1").glob("*.parquet"))
+    footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(conf, jvm.org.apache.hadoop.fs.Path(str(file)))
+    column = footer.getBlocks().get(0).getColumns().get(0)
+    assert str(column.getPath()) == "[shooter_id]" and column.getBloomFilterOffset() > 0
