@@ -178,14 +178,11 @@ _QUALITY_SQL = rf"""
         select id, count(distinct pos + k) as n from grams, range(3) t(k) where n > 1 group by id),
     lines as (
         select id, source, text, line, row_number() over (partition by id, line) as place,
-            len(regexp_extract_all(line, '[^ 	-
-]+')) as words,
-            translate(array_to_string(regexp_extract_all(line, '[^ 	-
-]+'), ' '),
+            len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words,
+            translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm
         from (select id, source, text, unnest(string_split(text, chr(10))) as line from numbered)
-        where regexp_matches(line, '[^ 	-
-]')),
+        where regexp_matches(line, '[^\x20\x09-\x0D]')),
     hosts as (select source, count(distinct text) as n from numbered group by source),
     frequent as (
         select l.source, norm from lines l join hosts h on l.source is not distinct from h.source
