@@ -158,6 +158,14 @@ def test_a_rerun_starts_at_the_failed_step(spark, landing, tmp_path, monkeypatch
     calls.clear()
     refresh.refresh(spark, root, landing, AS_OF, ALL_SEASONS, checks)
     assert calls == []  # all done: nothing runs again
+    # Checks of int_shot_events read the stored shot mart, not the plays again.
+    int_checks = tuple(c for c in quality.SUITE if c.table == "int_shot_events")
+    frames = refresh.check_tables(refresh.Warehouse(spark, root, landing).marts(stored=refresh.RunLog(
+        spark, root, AS_OF.isoformat()).done("build_marts")), int_checks)
+    plan = quality.run_checks(frames, int_checks)._jdf.queryExecution().executedPlan().toString()
+    files = frames["int_shot_events"].inputFiles()
+    assert files and all("/mart_shot_events/version-1/" in f for f in files)
+    assert plan.count("FileScan") == 2  # the stored mart, once per kind of check
     # All marts are named by one pointer; each mart has one version on disk.
     assert len(list((tmp_path / "house" / "_published").glob("*.json"))) == 1
     assert [p.name for p in (tmp_path / "house" / "mart_shot_events").glob("version-*")] == ["version-1"]
