@@ -27,7 +27,7 @@ from shotmarts.llm import common
 
 BASE_SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "text_hash long, lines array<struct<h: long, words: int>>"
+    "text_hash long, h long, words int"
 )
 SYMBOLS = b"#*$%&|<>"
 
@@ -88,8 +88,14 @@ def base_row(text: str | None) -> tuple:
 
 
 def _base(rows: list[dict]) -> Iterator[tuple]:
+    """Flat rows: one per document (``h`` NULL) with its counts, then one per line with a word
+    (counts NULL) with the line's hash and words."""
     for row in rows:
-        yield (row["id"], row["doc_id"], row["host"], *base_row(row["text"]))
+        *counts, text_hash, lines = base_row(row["text"])
+        key = (row["id"], row["doc_id"], row["host"])
+        yield (*key, *counts, text_hash, None, None)
+        for h, words in lines:
+            yield (*key, None, None, None, None, None, text_hash, h, words)
 
 
 def judge(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:
@@ -102,12 +108,12 @@ def judge(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> Data
     rows = docs.select(own.alias("id"), "doc_id", F.col(host).alias("host"), "text")
     types = dict(rows.dtypes)
     schema = f"id long, doc_id {types['doc_id']}, host {types['host']}, {BASE_SCHEMA}"
-    base = ws.store(common.map_rows(rows, schema, _base), "base")
+    flat = ws.store(common.map_rows(rows, schema, _base, rows=2_000), "flat")
+    base = flat.where(F.col("h").isNull())
+    lines = flat.where(F.col("h").isNotNull()).select("id", "host", "text_hash", "h", "words")
 
-    texts = base.select("host", "text_hash", F.array_distinct("lines.h").alias("hs"))
-    texts = texts.dropDuplicates(["host", "text_hash"])
-    per_host = texts.groupBy("host").agg(F.count("*").alias("n_texts"))
-    held = texts.select("host", F.explode("hs").alias("h"))
+    per_host = base.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
+    held = lines.select("host", "text_hash", "h").distinct()
     counts = held.groupBy("host", "h").agg(F.count("*").alias("n")).where(
         F.col("n") > rules.min_docs
     )
@@ -115,15 +121,13 @@ def judge(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> Data
         F.col("n") > rules.max_share * F.col("n_texts")
     ).select(F.col("c.host").alias("host"), "h")
 
-    lines = base.select("id", "host", F.explode("lines").alias("line"))
-    lines = lines.select("id", "host", "line.h", "line.words")
     removed = lines.alias("l").join(
         frequent.alias("f"), F.expr("l.h = f.h and l.host <=> f.host")
     ).groupBy("l.id").agg(
         F.count("*").alias("n_removed_lines"), F.sum("l.words").alias("removed_words")
     )
     none = F.lit(0).cast("long")
-    judged = base.drop("lines", "host", "text_hash").join(removed, "id", "left")
+    judged = base.drop("host", "text_hash", "h", "words").join(removed, "id", "left")
     left = F.col("n_words") - F.coalesce("removed_words", none)
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
