@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shotmarts.llm import common
@@ -136,10 +136,13 @@ def shard(
     placed = placed.withColumn("place", place("key")).select(
         "row", "key", "size", "place.range", "place.shard", "place.slot"
     )
-    order = Window.partitionBy("range").orderBy("key", "size")
+    # One partition per range, each of at most ``range_bytes``: the range's id is its partition, so
+    # a task holds one range whatever the input, and rows are numbered by their place in it.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        placed.repartition("range")
-        .withColumn("slot", F.col("slot") + F.row_number().over(order) - 1)
+        placed.repartitionById(max(len(lower), 1), "range")
+        .sortWithinPartitions("key", "size")
+        .withColumn("slot", F.col("slot") + place)
         .select(
             "row.*", F.col("key").alias("shard_key"), F.col("size").alias("shard_size"), "shard", "slot"
         )
