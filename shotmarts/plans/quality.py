@@ -127,17 +127,30 @@ def _row(check: Check, failures: Column, total: Column) -> Column:
     )
 
 
-def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row-wise checks of a table in one pass."""
-    totals, results = [], []
+def row_metrics(checks: Sequence[Check]) -> list[Column]:
+    """Failures ``f<i>`` and rows in scope ``t<i>`` of each row-wise check, as aggregates: for one
+    pass over a table, or for metrics observed while it is written."""
+    totals = []
     for i, check in enumerate(checks):
         scope = F.expr(check.where) if check.where else F.lit(True)
         totals += [
             F.count_if(scope & F.expr(check.failing)).alias(f"f{i}"),
             F.count_if(scope).alias(f"t{i}"),
         ]
-        results.append(_row(check, F.col(f"f{i}"), F.col(f"t{i}")))
-    return df.agg(*totals).select(F.inline(F.array(*results)))
+    return totals
+
+
+def observed_results(spark, checks: Sequence[Check], metrics: Mapping[str, int]) -> DataFrame:
+    """Check results from the metrics of ``row_metrics`` (a few numbers per check)."""
+    rows = [(c.kind, c.table, c.label, metrics[f"f{i}"], metrics[f"t{i}"]) for i, c in enumerate(checks)]
+    schema = "check_name string, table_name string, column_name string, failures bigint, total bigint"
+    return spark.createDataFrame(rows, schema)
+
+
+def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All row-wise checks of a table in one pass."""
+    results = [_row(check, F.col(f"f{i}"), F.col(f"t{i}")) for i, check in enumerate(checks)]
+    return df.agg(*row_metrics(checks)).select(F.inline(F.array(*results)))
 
 
 def _uniqueness_check(df: DataFrame, check: Check) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shotmarts.plans.marts import Marts
-from shotmarts.plans.quality import SUITE, Check, failed, run_checks
+from shotmarts.plans.quality import SUITE, Check, failed, observed_results, row_metrics, run_checks
 from shotmarts.sources import documents, increments, schemas, tables
 from shotmarts.plans.runlog import Publication, RunLog
 from shotmarts.sources.buckets import BucketedTable
@@ -89,9 +89,14 @@ class Warehouse:
             raise tables.NotPublished(f"{name}: {error}") from None
         return self.spark.read.parquet(pointer[name])
 
-    def marts(self, stored: dict[str, str] | None = None) -> Marts:
-        """Marts built as new versions (``built`` names them), or read from ``stored`` versions."""
+    def marts(self, stored: dict[str, str] | None = None, checks: tuple[Check, ...] = ()) -> Marts:
+        """Marts built as new versions (``built`` names them), or read from ``stored`` versions.
+
+        The row-wise ``checks`` of a mart are observed while it is written (``observed`` holds
+        failures and rows in scope by check), so they need no pass of their own.
+        """
         self.built: dict[str, str] = {}
+        self.observed: dict[str, list[int]] = {}
 
         def keep(df: DataFrame, name: str) -> DataFrame:
             if stored is not None:
@@ -99,7 +104,14 @@ class Warehouse:
             partition_by, cluster_by = LAYOUT[name]
             version = tables.next_version(self.spark, self.path(name))
             self.built[name] = version
-            return tables.materialise(df, version, partition_by, cluster_by)
+            mine = [c for c in checks if c.table == name.removeprefix("mart_") and c.failing is not None]
+            if not mine:
+                return tables.materialise(df, version, partition_by, cluster_by)
+            watch = Observation(name)
+            out = tables.materialise(df, version, partition_by, cluster_by, observe=(watch, row_metrics(mine)))
+            got = watch.get
+            self.observed |= {repr(c): [got[f"f{i}"], got[f"t{i}"]] for i, c in enumerate(mine)}
+            return out
 
         return Marts(self, keep=keep)
 
@@ -174,9 +186,10 @@ def load_skater_stats(house: Warehouse, year: int) -> None:
     inbox.note("skater_stats", newest)
 
 
-def build_marts(house: Warehouse) -> Marts:
-    """Rebuild and store every mart; each is read back by the ones built on it."""
-    marts = house.marts()
+def build_marts(house: Warehouse, checks: tuple[Check, ...] = ()) -> Marts:
+    """Rebuild and store every mart; each is read back by the ones built on it. Row-wise checks of
+    the marts are observed while they are written."""
+    marts = house.marts(checks=checks)
     for name in ("shot_events", "players", "player_shooting", "team_games", "team_season"):
         getattr(marts, name)
     return marts
@@ -189,9 +202,20 @@ def check_tables(marts: Marts, checks: tuple[Check, ...]) -> dict[str, DataFrame
     return {c.table: marts.shot_events if c.table == "int_shot_events" else getattr(marts, c.table) for c in checks}
 
 
-def assert_quality(marts: Marts, checks: tuple[Check, ...] = SUITE) -> None:
-    """Raise with the failing checks. Only check results reach the driver: one row per check."""
-    bad = failed(run_checks(check_tables(marts, checks), checks)).collect()
+def assert_quality(
+    marts: Marts, checks: tuple[Check, ...] = SUITE, observed: dict[str, list[int]] | None = None
+) -> None:
+    """Raise with the failing checks. Checks observed while the marts were written are taken as
+    observed; the others run. Only check results reach the driver: one row per check."""
+    observed = observed or {}
+    seen = [c for c in checks if repr(c) in observed]
+    rest = tuple(c for c in checks if repr(c) not in observed)
+    spark = marts.shot_events.sparkSession
+    metrics = {k: v for i, c in enumerate(seen) for k, v in ((f"f{i}", observed[repr(c)][0]), (f"t{i}", observed[repr(c)][1]))}
+    results = observed_results(spark, seen, metrics)
+    if rest:
+        results = results.unionByName(run_checks(check_tables(marts, rest), rest))
+    bad = failed(results).collect()
     if bad:
         lines = [f"{r.check_name} {r.table_name}({r.column_name}): {r.failures} of {r.total}" for r in bad]
         raise QualityError("; ".join(lines))
@@ -226,15 +250,15 @@ def refresh(
             log.finish(step, lookback_days)
     built = log.done("build_marts")
     if built is None:
-        marts = build_marts(house)
-        versions = dict(house.built)
-        log.finish("build_marts", None, versions)
+        marts = build_marts(house, checks)
+        built = {"versions": dict(house.built), "observed": dict(house.observed)}
+        log.finish("build_marts", None, built)
     else:
-        versions = built
-        marts = house.marts(stored=versions)
+        marts = house.marts(stored=built["versions"])
+    versions = built["versions"]
     names = sorted(repr(c) for c in checks)
     if log.done("checks", [versions, names]) is None:
-        assert_quality(marts, checks)
+        assert_quality(marts, checks, built["observed"])
         log.finish("checks", [versions, names])
     if log.done("publish", versions) is None:
         Publication(spark, root).publish(versions)

@@ -42,6 +42,7 @@ def materialise(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     bloom: Sequence[str] | None = None,
+    observe: tuple | None = None,
 ) -> DataFrame:
     """Overwrite a table and return it as read from storage.
 
@@ -50,11 +51,16 @@ def materialise(
     pass of a range partitioning, and the plan of ``df`` runs once. Within files rows are sorted by
     the partition and cluster columns, so min/max statistics of row groups skip most of them on a
     point filter, and Parquet Bloom filters on the ``bloom`` columns (by default the id columns
-    among ``cluster_by``) skip row groups whose range holds a key they do not have.
+    among ``cluster_by``) skip row groups whose range holds a key they do not have. ``observe``
+    (an ``Observation`` and aggregate columns) collects metrics while the rows are written.
     """
     order = [*partition_by, *cluster_by]
     if order:
         df = df.hint("rebalance", *partition_by).sortWithinPartitions(*order)
+    if observe:
+        # After the exchange, in the writing tasks: each row counts once per successful task.
+        observation, metrics = observe
+        df = df.observe(observation, *metrics)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     for column in [c for c in cluster_by if c.endswith("_id")] if bloom is None else bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
