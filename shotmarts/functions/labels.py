@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shotmarts.functions.numeric import round_half_even
@@ -121,3 +121,8 @@ def height_label(inches: Column) -> Column:
 def clip_content_id(url: Column) -> Column:
     """Last ``-`` separated part of a clip address, trailing slashes removed."""
     return F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "-"), -1)
+
+
+def club_names(spark) -> DataFrame:
+    """The fixed club names as a dimension (team_abbrev, name): 32 rows."""
+    return spark.createDataFrame(sorted(TEAM_NAMES.items()), "team_abbrev string, name string")

@@ -492,6 +492,9 @@ def team_roster(
     )
 
 
-def team_names(team_seasons: DataFrame, names: DataFrame) -> DataFrame:
-    """Teams with their full name, or the abbreviation where none is known."""
+def team_names(team_seasons: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Teams with their full name, or the abbreviation where none is known. Without ``names``, the
+    fixed names of the league's clubs."""
+    if names is None:
+        names = lb.club_names(team_seasons.sparkSession)
     return lookup(team_seasons.select(*TEAM_SEASON), names, "team_abbrev", "name", "team_name")

@@ -82,3 +82,11 @@ def test_split_records_keep_a_null_club(spark):
     assert set(got) == {None, "BOS"}
     assert (got[None].home_w, got[None].away_w, got[None].away_l, got[None].last_w) == (2, 2, 1, 4)
     assert got["BOS"].home_otl == 1
+
+
+def test_team_names_default_to_the_clubs(spark):
+    from shotmarts.plans import serving
+
+    seasons = spark.createDataFrame([("BOS", 20242025), ("XYZ", 20242025), (None, 20242025)], "team_abbrev string, season int")
+    got = {r.team_abbrev: r.team_name for r in serving.team_names(seasons).collect()}
+    assert got == {"BOS": "Boston Bruins", "XYZ": "XYZ", None: None}
