@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -132,3 +133,42 @@ def test_kmeans_few_and_none(spark):
     assert sorted(map(tuple, got), key=key) == sorted(brute_kmeans(rows), key=key)
     assert clustering.cluster(df.where("vec_id = 3")).collect()[0].cluster is None
     assert clustering.cluster(df.where("vec_id > 99")).collect() == []
+
+
+def exact_kmeans(rows, k=40, rounds=5):
+    """The contract in whole numbers of any size; rows of (vec_id, vector), all kept, ids distinct."""
+    ids = [r for r, _ in rows]
+    x = [[math.floor(256 * Fraction(float(y))) for y in v] for _, v in rows]
+    order = sorted(range(len(x)), key=lambda i: hashlib.sha256(f"2:{ids[i]}".encode()).hexdigest())
+    c = [x[i] for i in order[:k]]
+
+    def place():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, m, strict=True)), j) for j, m in enumerate(c)) for v in x]
+
+    for _ in range(rounds):
+        found = place()
+        for j in range(len(c)):
+            mine = [v for v, (_, at) in zip(x, found, strict=True) if at == j]
+            if mine:
+                c[j] = [sum(column) // len(mine) for column in zip(*mine, strict=True)]
+    found = place()
+    inertia = [sum(d for d, at in found if at == j) for j in range(len(c))]
+
+    def long(n):
+        return n if n < 2**63 else None
+
+    return [
+        (r, j, long(d), long(inertia[j]), long(sum(inertia)), hashlib.sha256(",".join(map(str, c[j])).encode()).hexdigest())
+        for r, (d, j) in zip(ids, found, strict=True)
+    ]
+
+
+@pytest.mark.parametrize("scales", [[1.0, 3e6], [1.0, 1e8, -1e8], [1.0, 1e17, 1e300]])
+def test_kmeans_of_large_components(spark, scales):
+    """Differences whose squares pass 64 bits, and components that pass them themselves."""
+    rng = random.Random(11)
+    rows = [(i, [s * (1 + rng.randrange(-8, 8) / (abs(s) * 16)) for _ in range(64)]) for i, s in enumerate(scales * 60)]
+    rows += [(1000 + i, [-y for y in v]) for i, v in rows[:20]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = clustering.cluster(df.repartition(4)).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(exact_kmeans(rows), key=key)
