@@ -22,7 +22,7 @@ from shotmarts.functions import labels as lb  # noqa: E402
 from shotmarts.functions import shots as fn  # noqa: E402
 from shotmarts.plans import players, quality, serving, shots, teams  # noqa: E402
 from shotmarts.plans.marts import Marts  # noqa: E402
-from shotmarts.plans.refresh import LAYOUT  # noqa: E402
+from shotmarts.plans.refresh import EVEN, LAYOUT  # noqa: E402
 from shotmarts.session import tune  # noqa: E402
 from shotmarts.sources import documents, increments, schemas, tables  # noqa: E402
 from shotmarts.sources import trial_documents as td  # noqa: E402
@@ -143,7 +143,8 @@ def _written_games(t: tt.TrialTables) -> DataFrame:
 def _materialised(m: Marts) -> DataFrame:
     """The shot mart stored in its layout and read back."""
     path = _stored_path(m.raw, "mart")
-    return tables.materialise(m.shot_events, path, *LAYOUT["mart_shot_events"])
+    layout, even = LAYOUT["mart_shot_events"], "mart_shot_events" in EVEN
+    return tables.materialise(m.shot_events, path, *layout, even=even)
 
 
 def _current_teams(t: tt.TrialTables) -> DataFrame:

@@ -40,9 +40,11 @@ def elapsed_seconds(period: Column, seconds_in_period: Column) -> Column:
     return (period - 1) * PERIOD_SECONDS + seconds_in_period
 
 
-def game_number(game_id: Column) -> Column:
-    """Game id without its four-digit start year: the id used by the expected-goals file."""
-    return F.substring(game_id.cast("string"), 5, 30).cast("bigint")
+def game_number(game_id: Column, strict: bool = True) -> Column:
+    """Game id without its four-digit start year: the id used by the expected-goals file. A shorter id
+    raises, or gives NULL if not strict."""
+    digits = F.substring(game_id.cast("string"), 5, 30)
+    return digits.cast("bigint") if strict else digits.try_cast("bigint")
 
 
 def net_x(team: Column, home: Column, away: Column, home_side: Column, x: Column) -> Column:

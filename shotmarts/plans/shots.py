@@ -36,6 +36,25 @@ def attach_game(plays: DataFrame, games: DataFrame, columns: Sequence[str]) -> D
     return plays.join(facts, "game_id", "left")
 
 
+def attach_game_by_number(plays: DataFrame, games: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same by a join on the game number ``mp_game_id`` alone, which stays in the result.
+
+    The rows then lie by game number, the first key of the join in ``attach_xg``: where joins may share
+    a shuffle on part of their keys (``tables.materialise``), the wide shots are shuffled once for both.
+    A number has one game a season, kept in a map.
+    """
+    facts = games.where("game_id is not null").groupBy("game_id").agg(
+        *[F.any_value(c).alias(c) for c in columns]
+    )
+    entry = F.struct(F.col("game_id"), F.struct(*columns))
+    numbered = facts.groupBy(fn.game_number(F.col("game_id"), strict=False).alias("mp_game_id")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_games")
+    )
+    joined = plays.withColumn("mp_game_id", fn.game_number(F.col("game_id"))).join(numbered, "mp_game_id", "left")
+    game = F.try_element_at("_games", F.col("game_id"))
+    return joined.withColumns({c: game[c] for c in columns}).drop("_games")
+
+
 def attach_game_teams(plays: DataFrame, games: DataFrame) -> DataFrame:
     return attach_game(plays, games, ["home_team_id", "away_team_id"])
 
@@ -59,10 +78,11 @@ def attach_xg(shots: DataFrame, xg: DataFrame, match_season: bool = False) -> Da
 
     The expected-goals rows are reduced to one per key first, so no shot is multiplied. Game
     numbers repeat every season; ``match_season`` also compares the season, which the default
-    leaves out to give the same results as before.
+    leaves out to give the same results as before. Shots that carry ``mp_game_id`` keep it as a key,
+    so that Spark can see how they lie.
     """
     keys = {
-        "mp_game_id": fn.game_number(F.col("game_id")),
+        "mp_game_id": F.col("mp_game_id") if "mp_game_id" in shots.columns else fn.game_number(F.col("game_id")),
         "seconds_elapsed": fn.elapsed_seconds(F.col("period"), F.col("seconds_in_period")),
     }
     on = list(XG_KEYS)
@@ -125,9 +145,9 @@ def _enriched(
     plays: DataFrame, games: DataFrame, xg: DataFrame, match_season: bool, strict: bool
 ) -> DataFrame:
     """Shots with everything the two shot tables need. Teams and date come from one join with
-    games, so the wide shot rows are shuffled by game only once."""
+    games by game number, so the wide shot rows are shuffled for the games only once."""
     parsed = parse_plays(plays, strict)
-    with_game = attach_game(parsed, games, ["home_team_id", "away_team_id", "game_date"])
+    with_game = attach_game_by_number(parsed, games, ["home_team_id", "away_team_id", "game_date"])
     located = add_strength(add_geometry(with_game))
     return attach_xg(located, xg, match_season)
 

@@ -119,3 +119,35 @@ def test_materialise_runs_the_plan_once_with_bloom_filters(spark, tmp_path):
     footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(conf, jvm.org.apache.hadoop.fs.Path(str(file)))
     column = footer.getBlocks().get(0).getColumns().get(0)
     assert str(column.getPath()) == "[shooter_id]" and column.getBloomFilterOffset() > 0
+
+
+def test_even_rows_are_written_without_another_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from shotmarts.sources.tables import SHARED_SHUFFLE, materialise
+
+    df = spark.range(0, 3000, 1, 4).select((F.col("id") % 3).alias("season"), F.col("id").alias("shooter_id"))
+    tracker, before = spark.sparkContext.statusTracker(), spark.conf.get(SHARED_SHUFFLE)
+    jobs = {}
+    for even in (True, False):
+        spark.sparkContext.setJobGroup(f"even-{even}", "")
+        out = materialise(df, str(tmp_path / f"mart-{even}"), ["season"], ["shooter_id"], even=even)
+        jobs[even] = len(tracker.getJobIdsForGroup(f"even-{even}"))
+        assert out.count() == 3000
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[True] < jobs[False] and spark.conf.get(SHARED_SHUFFLE) == before
+
+
+def test_shots_are_shuffled_once_for_games_and_expected_goals(spark):
+    import re
+
+    import __spark_entry__ as registry
+    from shotmarts.sources.tables import SHARED_SHUFFLE, _setting
+
+    with _setting(spark, SHARED_SHUFFLE, "false"), _setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        mart = registry.shot_queries()["shot_events"](spark, "/root/testdata/sf0.001")
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+    # The shots and the deduplicated expected goals by number; the latter by all their keys before.
+    assert len(re.findall(r"Exchange hashpartitioning\(mp_game_id#\d+L, \d+\)", plan)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(mp_game_id#\d+L, shooter_id", plan)) == 1
+    assert mart.count() > 0
