@@ -78,8 +78,9 @@ def _append_new_games(t: tt.TrialTables) -> DataFrame:
     return increments.append_new(stored, games.withColumn("origin", F.lit("new")), ["game_id"])
 
 
-def _flat_plays(t: tt.TrialTables) -> DataFrame:
-    return documents.flatten_plays(_docs(td.play_documents(t), schemas.PLAYS_DOC))
+def _flat_plays(t: tt.TrialTables, payload: bool = True) -> DataFrame:
+    docs = documents.parse_play_documents(td.play_documents(t), "text", payload)
+    return documents.flatten_plays(docs)
 
 
 def _plays_from_payload(t: tt.TrialTables) -> DataFrame:
@@ -240,7 +241,7 @@ def shot_queries() -> dict[str, Query]:
         # loads
         "ingest_games": _trial(_ingest_games),
         "append_new_games": _trial(_append_new_games),
-        "ingest_plays": _trial(lambda t: _flat_plays(t).select(*tt.PLAY_COLUMNS)),
+        "ingest_plays": _trial(lambda t: _flat_plays(t, payload=False).select(*tt.PLAY_COLUMNS)),
         "ingest_plays_raw_json": _trial(_plays_from_payload),
         "completed_games": _trial(lambda t: documents.completed_games(_schedule(t), AS_OF)),
         "unprocessed_games": _trial(_unprocessed_games),

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shotmarts.functions.shots import SHOT_EVENTS
 from shotmarts.sources import schemas
@@ -35,6 +36,13 @@ def parse_documents(texts: DataFrame, column: str, schema: str) -> DataFrame:
     return texts.select(F.from_json(column, schema, STRICT).alias("doc")).select("doc.*")
 
 
+def parse_play_documents(texts: DataFrame, column: str, payload: bool = True) -> DataFrame:
+    """Play-by-play documents held as text. With ``payload`` the plays stay text, else each play (an
+    object) is parsed with its document in one pass. The stamp is left out: flattening does not read
+    it, and a time stamp is dear to parse."""
+    return parse_documents(texts, column, schemas.PAYLOADS_DOC if payload else schemas.PARSED_PLAYS_DOC)
+
+
 def read_xg(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The 15 expected-goals columns in use, by name; the file's other columns are pruned."""
     source = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
@@ -109,10 +117,21 @@ def completed_games(
 
 
 def flatten_plays(docs: DataFrame) -> DataFrame:
-    """Shot events of play-by-play documents, each with its own payload kept as text."""
-    plays = docs.select("id", "season", F.explode_outer("plays").alias("raw"))
-    parsed = plays.withColumn("play", F.from_json("raw", schemas.PLAY, STRICT))
-    shots = parsed.where(F.col("play.typeDescKey").isin(*SHOT_EVENTS))
+    """Shot events of play-by-play documents, each with its own payload kept as text; without it where
+    the plays come parsed.
+
+    Plays that are still text are parsed inside the array: outside, Spark would test the event type
+    below the projection and parse every shot twice.
+    """
+    if isinstance(docs.schema["plays"].dataType.elementType, StringType):
+        def parsed(raw: Column) -> Column:
+            return F.struct(F.from_json(raw, schemas.PLAY, STRICT).alias("play"), raw.alias("raw"))
+
+        slots = docs.select("id", "season", F.explode_outer(F.transform("plays", parsed)).alias("slot"))
+        plays = slots.select("id", "season", "slot.*")
+    else:
+        plays = docs.select("id", "season", F.explode_outer("plays").alias("play"))
+    shots = plays.where(F.col("play.typeDescKey").isin(*SHOT_EVENTS))
     details = F.col("play.details")
     scorer = F.nullif(details["scoringPlayerId"], F.lit(0))
     return with_ingested_at(
@@ -134,7 +153,7 @@ def flatten_plays(docs: DataFrame) -> DataFrame:
             details["awayScore"].alias("away_score"),
             details["homeScore"].alias("home_score"),
             details["highlightClipSharingUrl"].alias("highlight_clip_url"),
-            "raw",
+            *[c for c in ("raw",) if c in shots.columns],
         )
     )
 

@@ -63,6 +63,10 @@ PLAY = """
         awayScore: int, homeScore: int, highlightClipSharingUrl: string>
 """
 
+# What flattening reads of documents held as text: with the plays as text, and with the plays parsed.
+PAYLOADS_DOC = "id bigint, season int, plays array<string>"
+PARSED_PLAYS_DOC = f"id bigint, season int, plays array<struct<{PLAY}>>"
+
 STANDINGS_DOC = f"doc_ts timestamp, standings array<struct<teamAbbrev: {_TEXT}>>"
 
 _ROSTER_PLAYER = f"""array<struct<

@@ -209,3 +209,31 @@ def test_partition_overwrite_and_snapshots(spark, tmp_path):
         tables.write_snapshot(spark.createDataFrame([(version,)], "v int"), path, version)
     newest, version = tables.read_snapshot(spark, path, "v int")
     assert (ids(newest), version) == ([(2,)], 2)
+
+
+def test_plays_are_parsed_with_their_documents(spark):
+    """A document is parsed once, and once more a play where the plays stay text."""
+    play = {"eventId": 4, "typeDescKey": "goal", "x": [1, {"y": "ü"}], "details": {"scoringPlayerId": 7, "xCoord": 1.5}}
+    hit = {"eventId": 5, "typeDescKey": "hit", "details": None}
+    bodies = [
+        {"doc_ts": "2025-01-11T00:00:00Z", "id": 1, "season": 20242025, "plays": [hit, None, play, {}, {**play, "eventId": 6}]},
+        {"id": 2, "plays": []}, {"id": 3},
+    ]
+    texts = spark.createDataFrame([(json.dumps(b, ensure_ascii=False),) for b in bodies] + [(None,)], "text string")
+    apart = docs.flatten_plays(docs.parse_documents(texts, "text", schemas.PLAYS_DOC)).drop("ingested_at")
+    joint = docs.flatten_plays(docs.parse_play_documents(texts, "text")).drop("ingested_at")
+    lean = docs.flatten_plays(docs.parse_play_documents(texts, "text", payload=False)).drop("ingested_at")
+    assert sorted(r["event_id"] for r in joint.collect()) == [4, 6]
+    assert json.loads(joint.where("event_id = 4").first()["raw"]) == play
+    assert sorted(joint.collect()) == sorted(apart.collect())
+    assert sorted(lean.collect()) == sorted(joint.drop("raw").collect())
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (apart, joint, lean)]
+    assert [plan.count("from_json(") for plan in plans] == [2, 2, 1]
+
+
+@pytest.mark.parametrize("play", ['{"eventId": "x"}', '{"typeDescKey": "hit", "details": {"xCoord": "far"}}', "7"])
+@pytest.mark.parametrize("payload", [True, False])
+def test_plays_of_other_types_end_the_load(spark, play, payload):
+    texts = spark.createDataFrame([(f'{{"id": 1, "plays": [{play}]}}',)], "text string")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        docs.flatten_plays(docs.parse_play_documents(texts, "text", payload)).collect()
