@@ -67,6 +67,33 @@ def test_passages_of_short_lines(spark):
             assert dict(rows)[r.doc_id][start:end].lower() in [x.lower() for x in lines[keep_id]]
 
 
+def test_passages_inside_lines(spark):
+    """Passages of 51 words or more that begin and end inside lines leave the later documents only."""
+    rng = random.Random(4)
+    text = lambda n: words(rng, n, 10**6)
+    passages = [text(rng.randrange(51, 90)) for _ in range(30)]
+    rows, plain = [], []
+    for i, passage in enumerate(passages):
+        for doc_id in (i, 100 + i):
+            whole = text(30) + [x.upper() if doc_id == i else x for x in passage] + text(30)
+            if i % 2:  # a line break at the same place of the passage
+                whole[70] += "\n" + whole.pop(71)
+            rows.append((doc_id, " ".join(whole)))
+            plain.append((doc_id, whole))
+    rows.append((200, " ".join(text(200) + passages[0][:19] + text(200))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in repeated_lines.remove(docs).collect()}
+    texts = dict(rows)
+    assert not any(got[d].n_removed for d in [*range(30), 200])
+    for i, passage in enumerate(passages):
+        r, known = got[100 + i], {x.lower() for x in passage}
+        assert r.n_removed >= 1
+        gone = [x for start, end, keep_id in r.removed for x in texts[100 + i][start:end].split()]
+        assert len(gone) >= 20 and set(gone) <= known and {x.keep_id for x in r.removed} == {i}
+        assert sorted(gone + r.clean_text.split()) == sorted(texts[100 + i].split())
+        assert ("\n" in r.clean_text) == ("\n" in texts[100 + i])
+
+
 def test_paragraphs(spark):
     part = "\n".join(" ".join(f"p{i}{k}" for k in range(12)) for i in range(3))
     rows = [(1, f"head\n\n{part}"), (2, f"{part.upper()}\n \nother"), (3, None)]
