@@ -1,23 +1,24 @@
-"""Similarity join on word n-grams: a blocked sparse product of documents by n-grams.
+"""Similarity join on word n-grams: a sparse product of documents by their rarest n-grams.
 
 A document is the set of its distinct ``n``-word shingles, as 64-bit digests. Two link when their
 Jaccard similarity reaches ``percent``. Equal sets are one row of the product. Columns are dealt
-out by digest, so a task holds the documents of some columns side by side and adds up the overlap
-of each pair it meets; counts of all tasks are then summed per pair.
+out by ranges of their digests, packed, so a task counts in how many sets each of its columns is, and
+those of several sets go back to their documents.
 
 Bounds from the set sizes keep the product small:
 
-- A pair that links shares one of the first ``size - ceil(share * size) + 1`` columns of each row,
-  in any order of columns that all rows agree on. Only these are multiplied, and some spare ones.
-- Columns of more than ``hot`` groups are put last in the order: they are left out, and the spare
-  columns make up for them. A row with more of them than spare columns is *dominated*. Dominated
-  rows meet each other once more, see ``_among_dominated``, and the others in ``_crossing``.
-- A pair stays only if the overlap counted, plus all that the columns not counted could add,
-  reaches what its sizes ask for. Those left are compared on their whole texts.
+- A set links only if as many of its columns as ``percent`` of its size are in other sets too. Most
+  sets have too few and go no further. The others keep these columns, rarest first.
+- A pair that links has a first common column in this order, and there both rows have enough columns
+  left for what the sizes ask. So a row is multiplied by its first columns only, and by those that
+  are rare: rows of a family that share common columns but do not link hardly meet.
+- Those left are compared on all their repeated columns, as no other is shared.
 
-Before the product, rows that share several of their very first columns with the least row of these
-are compared with it. That links the bulk of large groups of near copies to one row each, and pairs
-inside a known component are left out of the product. So no group is expanded into its pairs.
+Before the product, rows that share several of their first columns by digest with the least row of
+these are compared with it, and rows of a column of more than ``hot`` rows with a few of them. That
+links the bulk of large groups of near copies to a few rows each, and pairs inside a known component
+are left out of the product. So no group is expanded into its pairs; pairs of rows that are close but
+do not link are made if their first columns meet.
 
 Defined cases: a text that is NULL or has no word has an empty set and links with nothing; fewer
 words than ``n`` are one shingle; equal texts link; rows repeated with their ``doc_id`` are each
@@ -31,12 +32,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from shotmarts.llm import common
 from shotmarts.llm.graphs import components
@@ -49,23 +52,17 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 class Join:
     n: int = 5
     percent: int = 75
-    #: Columns with more groups of rows than this are hot.
+    #: Rows of a column with more rows than this first meet a few of them only.
     hot: int = 64
-    #: Rows up to this size give all their columns.
+    #: Without effect since rows are multiplied by their rarest columns; kept for callers that set it.
     whole: int = 160
-    #: Columns at the head of a row by which it first looks for the least row like it.
+    #: Columns at the head of a row by which it first looks for the least row like it, and the rows
+    #: of the largest component of a column that the others meet before the product.
     head: int = 8
 
-    def first(self, size: int) -> int:
-        return size - -(-self.percent * size // 100) + 1
-
-    def given(self, size: int) -> int:
-        """First and spare columns of a row."""
-        return size if size <= self.whole else min(size, self.first(size) + max(16, size // 16))
-
-    def needed(self, a: int, b: int) -> int:
-        """Overlap at which sets of these sizes link."""
-        return -(-self.percent * (a + b) // (100 + self.percent))
+    def least(self, size: int) -> int:
+        """Overlap without which a set of this size links with none."""
+        return -(-self.percent * size // 100)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -107,42 +104,142 @@ def set_digest(columns: np.ndarray) -> bytes:
 
 
 def short_id(digest: bytes) -> int:
-    """Identifies a set inside the product; what it yields is compared on texts."""
+    """Identifies a set inside the product; what it yields is compared on the sets' columns."""
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def text_key() -> Column:
-    return F.xxhash64(common.whole_text())
+# --- repeated columns ---------------------------------------------------------------------------
+
+
+def _packed(s: np.ndarray, *numbers: np.ndarray) -> list[bytes]:
+    """Ascending columns as gaps and small numbers beside them. Each byte of them is compressed on its
+    own, as some are random and most are zero."""
+    gaps = np.diff(s, prepend=np.uint64(0))
+    parts = [gaps, *(x.astype(np.uint32) for x in numbers)]
+    planes = [plane.tobytes() for p in parts for plane in p.view(np.uint8).reshape(len(s), -1).T]
+    return [pa.compress(p, codec="zstd", asbytes=True) for p in planes]
+
 
+def _unpacked(packed: list[bytes], n: int) -> list[np.ndarray]:
+    raw = [np.frombuffer(pa.decompress(p, decompressed_size=n, codec="zstd", asbytes=True), np.uint8) for p in packed]
+    gaps = np.stack(raw[:8], axis=1).view(np.uint64)[:, 0]
+    numbers = [np.stack(raw[k : k + 4], axis=1).view(np.uint32)[:, 0] for k in range(8, len(raw), 4)]
+    return [np.cumsum(gaps, dtype=np.uint64), *numbers]
 
-# --- rows of the product ------------------------------------------------------------------------
+
+def _joined(table: pa.Table) -> list[np.ndarray]:
+    """The packed records of a table one after the other, and the place in it that each is from."""
+    counts = table.column("n").to_pylist()
+    packed = zip(table.column("packed").to_pylist(), counts, strict=True)
+    parts = [_unpacked(p, n) for p, n in packed]
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return [*(np.concatenate(x) for x in zip(*parts, strict=True)), owner]
 
 
 def _rows(docs: DataFrame, join: Join) -> DataFrame:
-    """A row per document. ``docs`` may bring a ``row_id``, which is kept."""
+    """A row per document, with its repeated columns, rarest first, if these could be enough for a
+    link; of equal sets in a block of documents only one has them. ``docs`` may bring a ``row_id``,
+    which is kept.
+
+    A block of documents sends its columns packed, by range of their digests. Of each range the
+    columns that several sets have go back to their block.
+    """
+    spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     own = ["row_id"] if "row_id" in docs.columns else []
+    fields = f"{'row_id: long, ' if own else ''}doc_id: {kind}, digest: binary, size: long, place: int"
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def work(batch: list[dict]) -> Iterator[tuple]:
+        part = TaskContext.get().partitionId()
         for chunk in common.chunks(batch):
-            for row, columns in zip(chunk, shingle_sets([r["text"] for r in chunk], join.n), strict=True):
-                size = len(columns)
-                digest = set_digest(columns) if size else None
-                given = columns[: join.given(size)].tolist()
-                vid = short_id(digest) if size else None
-                yield (*(row[c] for c in own), row["doc_id"], row["tk"], digest, vid, size, given[: join.head], given)
-
-    return common.map_rows(
-        docs.select(*own, "doc_id", "text", text_key().alias("tk")),
-        f"{'row_id long, ' if own else ''}doc_id {kind}, tk long, digest binary, vid long, size long, head array<long>, given array<long>",
-        work,
-        rows=2000,
-    )
+            sets = shingle_sets([r["text"] for r in chunk], join.n)
+            digests = [set_digest(s) if len(s) else None for s in sets]
+            places = {d: i for i, d in enumerate(dict.fromkeys(d for d in digests if d))}
+            number = next(numbers)
+            block = (part << 32) + number
+            yield block, (part + number) % ranges, 0, None, [
+                {**{c: r[c] for c in own}, "doc_id": r["doc_id"], "digest": d, "size": len(s), "place": places.get(d)}
+                for r, d, s in zip(chunk, digests, sets, strict=True)
+            ]
+            different = list({d: s for d, s in zip(digests, sets, strict=True) if d}.values())
+            if not different:
+                continue
+            s = np.concatenate(different).view(np.uint64)
+            place = np.repeat(np.arange(len(different)), [len(x) for x in different])
+            order = np.argsort(s, kind="stable")
+            s, place = s[order], place[order]
+            at = ((s >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+            cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(s)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                yield block, int(at[lo]), hi - lo, _packed(s[lo:hi], place[lo:hi]), None
+
+    numbers = iter(range(1 << 32))
+    sent = f"block long, range long, n long, packed array<binary>, docs array<struct<{fields}>>"
+    blocks = common.map_rows(docs.select(*own, "doc_id", "text"), sent, work, rows=64)
+    schema = to_arrow_schema(StructType.fromDDL(sent))
+
+    def several(table: pa.Table) -> pa.Table:
+        """The columns of a range that several sets have, with their number; and the documents."""
+        table = table.select(schema.names).cast(schema)
+        told, table = (table.filter(f(table.column("packed"))) for f in (pc.is_null, pc.is_valid))
+        if not len(table):
+            return told
+        s, place, owner = _joined(table)
+        order = np.argsort(s, kind="stable")
+        s, place, owner = s[order], place[order], owner[order]
+        run = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]])) - 1
+        often = np.bincount(run)[run]
+        kept = np.flatnonzero(often > 1)
+        kept = kept[np.argsort(owner[kept], kind="stable")]
+        s, place, owner, often = s[kept], place[kept], owner[kept], often[kept]
+        cuts = np.flatnonzero(np.concatenate([[True], np.diff(owner) > 0, [True]])) if len(s) else np.zeros(1, int)
+        spans = list(zip(cuts.tolist(), cuts[1:].tolist()))
+        blocks, at = (table.column(c).to_numpy()[owner[cuts[:-1]]] for c in ("block", "range"))
+        packed = [_packed(s[lo:hi], place[lo:hi], often[lo:hi]) for lo, hi in spans]
+        back = [blocks, at, np.diff(cuts), packed, [None] * len(spans)]
+        return pa.concat_tables([told, pa.table([pa.array(c, f.type) for c, f in zip(back, schema)], schema=schema)])
+
+    found = blocks.groupBy("range").applyInArrow(several, sent)
+    given = f"{'row_id long, ' if own else ''}doc_id {kind}, digest binary, vid long, size long, given array<long>"
+    target = to_arrow_schema(StructType.fromDDL(given))
+
+    def lists(table: pa.Table) -> pa.Table:
+        """The documents of a block with their repeated columns."""
+        known = table.column("docs").combine_chunks().drop_null().flatten()
+        names = [known.type.field(i).name for i in range(known.type.num_fields)]
+        about = dict(zip(names, known.flatten(), strict=True))
+        table = table.filter(pc.is_valid(table.column("packed")))
+        places = pc.fill_null(about["place"], -1).to_numpy()
+        size = about["size"].to_numpy()
+        columns: list[np.ndarray | None] = [None] * len(places)
+        if len(table):
+            s, place, often, _ = _joined(table)
+            order = np.lexsort((s, often, place))
+            s, place = s[order].view(np.int64), place[order]
+            first = np.flatnonzero(places >= 0)
+            first = first[np.unique(places[first], return_index=True)[1]]
+            lo, hi = (np.searchsorted(place, places[first], side) for side in ("left", "right"))
+            for i, start, end in zip(first.tolist(), lo.tolist(), hi.tolist(), strict=True):
+                if end - start >= join.least(int(size[i])):
+                    columns[i] = s[start:end]
+        digest = about["digest"]
+        vids = [short_id(d) if d else None for d in digest.to_pylist()]
+        more = {"vid": vids, "given": columns}
+        return pa.table(
+            [pa.array(more[f.name], f.type) if f.name in more else about[f.name].cast(f.type) for f in target],
+            schema=target,
+        )
+
+    return found.groupBy("block").applyInArrow(lists, given)
+
+
+# --- pairs --------------------------------------------------------------------------------------
 
 
-def _head_pairs(sets: DataFrame, join: Join) -> DataFrame:
-    """Each row with the least row that shares several of their first columns."""
-    heads = sets.select("vid", "size", F.explode("head").alias("s"))
+def _head_pairs(rows: DataFrame, join: Join) -> DataFrame:
+    """Each row with the least row that shares several of their first columns by digest."""
+    heads = rows.select("vid", "size", F.explode(F.slice(F.array_sort("given"), 1, join.head)).alias("s"))
     # Short rows have few first columns; a third of these must be shared.
     enough = F.greatest(F.lit(1), F.floor(F.least(F.lit(join.head), F.col("size")) * 0.4))
     heads = heads.select("s", "vid", "size", enough.cast("int").alias("enough"))
@@ -160,49 +257,6 @@ def _head_pairs(sets: DataFrame, join: Join) -> DataFrame:
     )
 
 
-def _records(rows: DataFrame, hot: int) -> DataFrame:
-    """A record per row and column: ``s``, ``vid``, ``comp``, ``mark``, ``told``.
-
-    Of a column with more than ``hot`` groups within a batch only a marking record is sent, so the
-    hottest columns hardly travel. The rows concerned send how many such columns they have, as
-    ``told`` of a record of their own.
-    """
-    schema = pa.schema(
-        [("s", pa.int64()), ("vid", pa.int64()), ("comp", pa.int64()), ("mark", pa.bool_()), ("told", pa.int64())]
-    )
-
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            lists = batch.column("given")
-            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
-            s = lists.flatten().to_numpy()
-            if not len(s):
-                continue
-            vids, comps = (batch.column(c).to_numpy() for c in ("vid", "comp"))
-            order = np.lexsort((comps[owner], s))
-            s, owner = s[order], owner[order]
-            new = np.concatenate([[True], s[1:] != s[:-1]])
-            run = np.cumsum(new) - 1
-            comp = comps[owner]
-            groups = np.bincount(run, new | np.concatenate([[True], comp[1:] != comp[:-1]]))
-            often = (groups > hot)[run]
-            sent = ~often | new
-            told = np.bincount(owner[often], minlength=batch.num_rows)
-            about = np.flatnonzero(told)
-            columns = [
-                np.concatenate([s[sent], vids[about]]),
-                np.concatenate([vids[owner[sent]], vids[about]]),
-                np.concatenate([comp[sent], comps[about]]),
-                np.concatenate([(often & new)[sent], np.zeros(len(about), bool)]),
-                np.concatenate([np.zeros(sent.sum(), np.int64), told[about]]),
-            ]
-            yield from pa.table([pa.array(c) for c in columns], schema=schema).to_batches(100_000)
-
-    common.ship(rows.sparkSession)
-    ddl = "s long, vid long, comp long, mark boolean, told long"
-    return rows.select("vid", "comp", "given").mapInArrow(batches, ddl)
-
-
 def _columns(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Sorted records in parts that do not cut a column, with the first place of each column."""
     held: list[np.ndarray] | None = None
@@ -219,288 +273,99 @@ def _columns(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray
         yield held, np.array([0, len(held[0])])
 
 
-def _multiplied(records: DataFrame, hot: int) -> DataFrame:
-    """The product over records: for pairs ``a`` < ``b`` of different components the number ``n`` of
-    shared columns that are not hot, in parts that are to be summed; for rows ``a`` of hot columns,
-    with ``b`` NULL, the number of these."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: list[np.ndarray] = []
-        told: list[tuple[np.ndarray, np.ndarray]] = []
-        count = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if pairs:
-                met, sums = np.unique(np.concatenate(pairs), return_counts=True)
-                parts = [pa.array(met["a"]), pa.array(met["b"]), pa.array(sums)]
-                yield from pa.table(parts, schema=schema).to_batches(100_000)
-            if told:
-                rows, at = np.unique(np.concatenate([t[0] for t in told]), return_inverse=True)
-                sums = np.bincount(at, np.concatenate([t[1] for t in told])).astype(np.int64)
-                parts = [pa.array(rows), pa.nulls(len(rows), pa.int64()), pa.array(sums)]
-                yield from pa.table(parts, schema=schema).to_batches(100_000)
-            pairs.clear()
-            told.clear()
-
-        for (_, vids, comps, marks, tolds), starts in _columns(source):
-            heard = tolds > 0
-            if heard.any():
-                told.append((vids[heard], tolds[heard]))
-            ends = np.append(starts[1:], len(vids))[: len(starts)]
-            several = ends - starts > 1
-            for start, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
-                own = ~heard[start:end]
-                rows, mine = vids[start:end][own], comps[start:end][own]
-                mark = marks[start:end][own]
-                if mark.any():
-                    rows = rows[~mark]
-                    told.append((rows, np.ones(len(rows), np.int64)))
-                    count += len(rows)
-                elif len(mine) and (mine != mine[0]).any():
-                    groups, at = np.unique(mine, return_inverse=True)
-                    if len(groups) > hot:
-                        told.append((rows, np.ones(len(rows), np.int64)))
-                        count += len(rows)
-                        continue
-                    for k in range(len(groups) - 1):
-                        inside, after = rows[at == k], rows[at > k]
-                        x, y = np.repeat(inside, len(after)), np.tile(after, len(inside))
-                        met = np.empty(len(x), [("a", np.int64), ("b", np.int64)])
-                        met["a"], met["b"] = np.minimum(x, y), np.maximum(x, y)
-                        pairs.append(met)
-                        count += len(met)
-                if count > 500_000:
-                    yield from flush()
-                    count = 0
-        yield from flush()
-
-    common.ship(records.sparkSession)
-    dealt = records.repartition("s").sortWithinPartitions("s")
-    return dealt.mapInArrow(batches, "a long, b long, n long")
-
-
-# --- bounds -------------------------------------------------------------------------------------
-
-
-def _info(rows: DataFrame, told: DataFrame) -> DataFrame:
-    """Of each row: size, last column given, hot columns, and what its own columns leave open."""
-    known = rows.select("vid", "size", "last", F.size("given").alias("given"))
-    joined = known.join(told, "vid", "left").withColumn("told", F.coalesce("told", F.lit(0)))
-    return joined.select(
-        "vid", "size", "last", "told", (F.col("told") + F.col("size") - F.col("given")).alias("open"), "given"
-    )
-
-
-def _within_bounds(pairs: DataFrame, info: DataFrame, join: Join) -> DataFrame:
-    """Pairs ``a``, ``b`` with ``n`` shared columns that could still link.
+def _product(rows: DataFrame, join: Join, stars: int = 0) -> DataFrame:
+    """Pairs ``a`` < ``b`` of different components that could link, of rows ``vid``, ``comp``, ``size``
+    and ``given``.
 
-    All columns that the row with the smaller last one gives were compared with the other row, but
-    for hot ones. So the overlap is at most those shared and what that row leaves open.
+    A pair that links has a first common column, and there both rows still have as many columns as
+    their sizes ask for. Pairs are made of such places only. With ``stars``, only of columns with more
+    than ``hot`` rows, and each row there meets so many rows of the largest component and one other.
     """
-    side = lambda x: info.select(
-        F.col("vid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("size", "last", "open"))
-    )
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = F.col("size_a") + F.col("size_b")
-    needed = F.ceil(join.percent * both / (100 + join.percent))
-    lo, hi = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    free = F.when(F.col("last_a") < F.col("last_b"), F.col("open_a")).when(
-        F.col("last_a") > F.col("last_b"), F.col("open_b")
-    ).otherwise(F.least("open_a", "open_b"))
-    possible = (100 * lo >= join.percent * hi) & (F.col("n") + free >= needed)
-    return met.where(possible).select("a", "b")
-
-
-def _product(rows: DataFrame, join: Join, ws: common.Workspace, name: str) -> tuple[DataFrame, DataFrame]:
-    """Pairs within bounds, and the rows' info. ``rows``: ``vid``, ``comp``, ``size``, ``last``, ``given``."""
-    product = ws.store(_multiplied(_records(rows, join.hot), join.hot), f"{name}-product")
-    told = product.where("b is null").groupBy(F.col("a").alias("vid")).agg(F.sum("n").alias("told"))
-    info = ws.store(_info(rows, told), f"{name}-info")
-    pairs = product.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return _within_bounds(pairs, info, join), info
-
-
-def _dominated(info: DataFrame, join: Join) -> DataFrame:
-    """Rows whose hot columns are more than their spare ones."""
-    spare = F.col("given") - (F.col("size") - F.ceil(join.percent * F.col("size") / 100) + 1)
-    return info.where((F.col("told") > 0) & (F.col("told") > spare)).select("vid")
-
-
-# --- texts --------------------------------------------------------------------------------------
-
-
-def _texts(docs: DataFrame, classes: DataFrame, vids: DataFrame, ws: common.Workspace, name: str) -> DataFrame:
-    """``vid`` and ``text`` of the given rows. A bitmap of fixed size keeps most other texts from
-    being shuffled; as it fills up, more of them are."""
-    wanted = classes.join(vids.distinct(), "vid").select("vid", "first.doc_id", "first.tk")
-    wanted = ws.store(wanted, f"{name}-wanted")
-    bits = 23
-    slot = F.col("tk").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    word = F.shiftright(slot, 6)
-    bit = F.expr("shiftleft(1L, cast(tk & 63 as int))")
-    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    bitmap = np.zeros(1 << (bits - 6), np.int64)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    @F.pandas_udf("boolean")
-    def maybe(keys: pd.Series) -> pd.Series:
-        at = keys.to_numpy() & ((1 << bits) - 1)
-        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
-
-    common.ship(docs.sparkSession)
-    some = docs.select("doc_id", common.whole_text().alias("text"), text_key().alias("tk")).where(maybe("tk"))
-    found = some.alias("d").join(wanted.alias("w"), F.expr("d.tk = w.tk and d.doc_id <=> w.doc_id"))
-    return found.select("vid", F.col("d.text").alias("text"))
-
-
-def _compared(
-    docs: DataFrame, classes: DataFrame, pairs: DataFrame, join: Join, ws: common.Workspace, name: str
-) -> DataFrame:
-    """The links among ``pairs`` of row ids, as pairs of set digests, from whole texts."""
-    pairs = ws.store(pairs, f"{name}-pairs")
-    vids = pairs.select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("b").alias("vid")))
-    texts = _texts(docs, classes, vids, ws, name)
-    texts = ws.store(texts, f"{name}-texts")
-    of = lambda x: texts.select(F.col("vid").alias(x), F.col("text").alias(f"text_{x}"))
-    met = pairs.join(of("b"), "b").join(of("a"), "a")
-
-    def work(batch: list[dict]) -> Iterator[tuple]:
-        for chunk in common.chunks(batch, ("text_a", "text_b")):
-            different = {t for r in chunk for t in (r["text_a"], r["text_b"])}
-            sets = dict(zip(different, shingle_sets(list(different), join.n), strict=True))
-            for row in chunk:
-                a, b = sets[row["text_a"]], sets[row["text_b"]]
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * shared >= join.percent * (len(a) + len(b) - shared):
-                    yield set_digest(a), set_digest(b)
-
-    links = common.map_rows(met.select("text_a", "text_b"), "a binary, b binary", work)
-    links = ws.store(links.where("a != b").distinct(), f"{name}-links")
-    ws.drop(f"{name}-texts")
-    return links
-
-
-# --- the join -----------------------------------------------------------------------------------
-
-
-def _crossing(
-    dominated: DataFrame, rows: DataFrame, info: DataFrame, join: Join
-) -> DataFrame:
-    """Pairs within bounds of dominated rows, with all their columns, and rows with those they give.
-
-    A pair with a row that is not dominated shares one of that row's columns that is not hot."""
-    mine = dominated.where("not all_given").select(
-        F.col("vid").alias("x"), F.col("comp").alias("comp_x"), F.explode("given").alias("s")
-    )
-    theirs = rows.select("vid", "comp", F.explode("given").alias("s"))
-    theirs = theirs.join(mine.select("s").distinct(), "s")
-    cool = theirs.groupBy("s").agg(F.count_distinct("comp").alias("groups")).where(
-        F.col("groups") <= join.hot
-    ).select("s")
-    met = mine.join(cool, "s").join(theirs, "s").where("comp != comp_x")
-    pairs = met.groupBy(F.least("x", "vid").alias("a"), F.greatest("x", "vid").alias("b")).agg(
-        F.count("*").alias("n")
-    )
-    # The dominated row gives all its columns here, so the other one bounds the overlap.
-    whole = dominated.where("not all_given").select("vid")
-    updated = info.join(whole.withColumn("all", F.lit(True)), "vid", "left").withColumn(
-        "last", F.when(F.col("all"), F.lit((1 << 63) - 1)).otherwise(F.col("last"))
-    )
-    updated = updated.withColumn("open", F.when(F.col("all"), F.col("size")).otherwise(F.col("open")))
-    return _within_bounds(pairs, updated, join)
-
-
-def _whole_rows(
-    docs: DataFrame, classes: DataFrame, vids: DataFrame, labelled: DataFrame, rows: DataFrame,
-    info: DataFrame, join: Join, ws: common.Workspace,
-) -> DataFrame:
-    """The given rows with all their columns, and ``hot``: of how many columns another row may share
-    none but hot ones. -1 if the product did not see all of a row's columns."""
-
-    def whole(batch: list[dict]) -> Iterator[tuple]:
-        for chunk in common.chunks(batch):
-            for row, s in zip(chunk, shingle_sets([r["text"] for r in chunk], join.n), strict=True):
-                yield row["vid"], len(s), s.tolist()
-
-    texts = _texts(docs, classes, vids, ws, "whole")
-    wide = common.map_rows(texts, "vid long, size long, given array<long>", whole, rows=500)
-    known = rows.select("vid", "all_given").distinct().join(info.select("vid", "open"), "vid")
-    hot = F.when(F.col("all_given"), F.col("open")).otherwise(F.lit(-1)).alias("hot")
-    return wide.join(labelled.select("vid", "comp"), "vid").join(known, "vid").select(
-        "vid", "comp", "size", "given", "all_given", hot
-    )
-
-
-def _among_dominated(wide: DataFrame, join: Join) -> DataFrame:
-    """Pairs within bounds of dominated rows with each other.
-
-    A pair of them that shares a column which is not hot has been met in the product. Any other
-    overlaps in hot columns only, so no more than the fewer hot columns of the two. Of the rows of a
-    column only such pairs come out whose overlap can reach what their sizes ask for, outside a known
-    component. Copies with many edits so drop out against each other; those with few are in one
-    component already.
-    """
-    first = (F.col("size") - F.ceil(join.percent * F.col("size") / 100) + 1).cast("int")
-    heads = wide.select("vid", "comp", "size", "hot", F.slice("given", F.lit(1), first).alias("given"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def met(part: list[np.ndarray]) -> Iterator[np.ndarray]:
         """The pairs of one column that may link, from a bounded block of rows at a time."""
-        _, vids, comps, sizes, hots = part
+        _, vids, comps, sizes, left = part
         if (comps == comps[0]).all():
             return
         order = np.argsort(sizes, kind="stable")
-        vids, comps, sizes, hots = vids[order], comps[order], sizes[order], hots[order]
+        vids, comps, sizes, left = vids[order], comps[order], sizes[order], left[order]
+
+        def may(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            needed = -(-join.percent * (sizes[i] + sizes[j]) // (100 + join.percent))
+            near = (100 * sizes[i] >= join.percent * sizes[j]) & (comps[i] != comps[j])
+            return near & (np.minimum(left[i], left[j]) >= needed)
+
+        def pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            out = np.empty(len(x), [("a", np.int64), ("b", np.int64)])
+            out["a"], out["b"] = np.minimum(vids[x], vids[y]), np.maximum(vids[x], vids[y])
+            return out
+
+        if stars:
+            groups, at, counts = np.unique(comps, return_inverse=True, return_counts=True)
+            bulk = np.flatnonzero(at == np.argmax(counts))
+            every = np.arange(len(vids))
+            spread = bulk[(2 * np.arange(stars) + 1) * len(bulk) // (2 * stars)]
+            for centre in {*spread.tolist(), len(every) // 2}:
+                i, j = np.minimum(every, centre), np.maximum(every, centre)
+                kept = may(i, j)
+                yield pairs(i[kept], j[kept])
+            return
         step = max(1, 1_000_000 // len(vids))
         for at in range(0, len(vids), step):
             i = np.arange(at, min(at + step, len(vids)))[:, None]
             j = np.arange(at, np.searchsorted(sizes, 100 * sizes[i[-1, 0]] // join.percent, "right"))
-            needed = -(-join.percent * (sizes[i] + sizes[j]) // (100 + join.percent))
-            hot = np.minimum(hots[i], hots[j])
-            may = (j > i) & (comps[i] != comps[j]) & (100 * sizes[i] >= join.percent * sizes[j])
-            x, y = np.nonzero(may & ((hot < 0) | (hot >= needed)))
-            x, y = vids[x + at], vids[y + at]
-            pairs = np.empty(len(x), [("a", np.int64), ("b", np.int64)])
-            pairs["a"], pairs["b"] = np.minimum(x, y), np.maximum(x, y)
-            yield pairs
+            x, y = np.nonzero((j > i) & may(i, j))
+            yield pairs(x + at, y + at)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                pairs, n = np.unique(np.concatenate(held), return_counts=True)
-                parts = [pa.array(pairs["a"]), pa.array(pairs["b"]), pa.array(n)]
-                yield from pa.table(parts, schema=schema).to_batches(100_000)
+                pairs = np.unique(np.concatenate(held))
+                yield from pa.table([pa.array(pairs[c]) for c in "ab"], schema=schema).to_batches(100_000)
                 held.clear()
 
         for part, starts in _columns(source):
             ends = np.append(starts[1:], len(part[0]))[: len(starts)]
-            for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-                if end - start > 1:
-                    for pairs in met([x[start:end] for x in part]):
-                        held.append(pairs)
-                        if sum(map(len, held)) > 500_000:
-                            yield from flush()
+            several = ends - starts > (join.hot if stars else 1)
+            for start, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
+                for pairs in met([x[start:end] for x in part]):
+                    held.append(pairs)
+                    if sum(map(len, held)) > 500_000:
+                        yield from flush()
         yield from flush()
 
-    common.ship(wide.sparkSession)
-    records = heads.select(F.explode("given").alias("s"), "vid", "comp", "size", "hot")
+    common.ship(rows.sparkSession)
+    found = F.size("given")
+    first = F.slice("given", F.lit(1), (found - F.ceil(join.percent * F.col("size") / 100) + 1).cast("int"))
+    records = rows.select("vid", "comp", "size", found.alias("found"), F.posexplode(first).alias("at", "s"))
+    records = records.select("s", "vid", "comp", "size", (F.col("found") - F.col("at")).cast("long").alias("left"))
     dealt = records.repartition("s").sortWithinPartitions("s")
-    pairs = dealt.mapInArrow(batches, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    seen = F.size("given")
-    info = heads.select("vid", "size", F.element_at("given", -1).alias("last"), (F.col("size") - seen).alias("open"))
-    return _within_bounds(pairs, info, join)
+    return dealt.mapInArrow(batches, "a long, b long").distinct()
 
 
-def _labelled(classes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Components of set digests, and of every class its component as a number."""
-    found = components(links)
-    joined = classes.join(found, classes["digest"] == found["vertex"], "left")
+def _compared(pairs: DataFrame, rows: DataFrame, join: Join, ws: common.Workspace, name: str) -> DataFrame:
+    """The links among ``pairs`` of row ids, as pairs of set digests, from all repeated columns."""
+    of = lambda x: rows.select(
+        F.col("vid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("digest", "size", "given"))
+    )
+    met = ws.store(pairs, f"{name}-pairs").join(of("b"), "b").join(of("a"), "a")
+    shared = F.size(F.array_intersect("given_a", "given_b"))
+    link = 100 * shared >= join.percent * (F.col("size_a") + F.col("size_b") - shared)
+    links = met.where(link).select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b"))
+    return ws.store(links.where("a != b").distinct(), f"{name}-links")
+
+
+# --- the join -----------------------------------------------------------------------------------
+
+
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows with their component as a number."""
+    joined = rows.join(components(links), F.col("digest") == F.col("vertex"), "left")
     comp = F.xxhash64(F.coalesce("component", "digest")).alias("comp")
-    return found, joined.select("digest", "vid", "first", comp)
+    return joined.select("vid", comp, "size", "given")
 
 
 def similarity_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -519,39 +384,14 @@ def _placed(docs: DataFrame, join: Join) -> DataFrame:
     own = ["row_id"] if "row_id" in docs.columns else []
     ws = common.Workspace(docs.sparkSession, "ngram-join")
     sets = ws.store(_rows(docs, join), "sets")
-    docs = docs.drop("row_id")
-    filled = sets.where("size > 0")
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk")
-    classes = ws.store(
-        filled.groupBy("digest", "vid", "size").agg(F.min(rank).alias("first")), "classes"
-    )
-    heads = filled.select("vid", "size", "head").dropDuplicates(["vid"])
-    links = _compared(docs, classes, _head_pairs(heads, join), join, ws, "head")
-
-    _, labelled = _labelled(classes, links)
-    full = F.size("given") == F.col("size")
-    last = F.when(full, F.lit((1 << 63) - 1)).otherwise(F.element_at("given", -1)).alias("last")
-    rows = filled.alias("r").join(
-        labelled.alias("l"),
-        F.expr("r.digest = l.digest and r.tk = l.first.tk and r.doc_id <=> l.first.doc_id"),
-    ).select("r.vid", "comp", "size", last, "given", full.alias("all_given"))
-    rows = ws.store(rows, "rows")
+    rows = sets.where("given is not null").dropDuplicates(["digest"])
+    rows = ws.store(rows.select("vid", "digest", "size", "given"), "rows")
     placed = ws.store(sets.select(*own, "doc_id", "size", "digest"), "placed")
     ws.drop("sets")
-    pairs, info = _product(rows, join, ws, "rows")
-    links = links.unionByName(_compared(docs, classes, pairs, join, ws, "product"))
-    ws.drop("rows-product")
-
-    dominated = ws.store(_dominated(info, join), "dominated")
-    if dominated.limit(1).count():
-        _, labelled = _labelled(classes, links)
-        wide = ws.store(_whole_rows(docs, classes, dominated, labelled, rows, info, join, ws), "wide")
-        if wide.where("not all_given").limit(1).count():
-            pairs = _crossing(wide, rows, info, join)
-            links = links.unionByName(_compared(docs, classes, pairs, join, ws, "crossing"))
-        links = links.unionByName(
-            _compared(docs, classes, _among_dominated(wide, join), join, ws, "dominated")
-        )
+    links = _compared(_head_pairs(rows, join), rows, join, ws, "head")
+    for name, stars in (("star", 1), ("stars", join.head), ("product", 0)):
+        pairs = _product(_labelled(rows, links), join, stars)
+        links = links.unionByName(_compared(pairs, rows, join, ws, name))
 
     found = components(links)
     placed = placed.join(found, F.col("digest") == F.col("vertex"), "left").select(

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
-from shotmarts.llm.ngram_join import Join, one_of_each, shingle_sets, similarity_components
+from shotmarts.llm import common
+from shotmarts.llm.ngram_join import (
+    Join, _packed, _unpacked, one_of_each, shingle_sets, similarity_components,
+)
 from odd import words
 
 
@@ -95,3 +99,32 @@ def test_one_row_of_each_component(spark):
     got = one_of_each(docs)
     assert got.columns == docs.columns
     assert sorted(r.place for r in got.collect()) == [0, 4, 5, 7, 8]
+
+
+def test_a_family_that_does_not_link_is_not_paired(spark, monkeypatch):
+    rng = random.Random(11)
+    base = " ".join(words(rng, 400, 10**6))
+    rows = [(i, edited(rng, base, 0.07)) for i in range(200)]
+    made = {}
+    store = common.Workspace.store
+
+    def counted(ws, df, name):
+        stored = store(ws, df, name)
+        if name.endswith("-pairs"):
+            made[name] = stored.count()
+        return stored
+
+    monkeypatch.setattr(common.Workspace, "store", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, similarity_components(docs).collect()), key=str)
+    assert got == brute(rows)
+    assert made and sum(made.values()) < 5 * len(rows)
+
+
+def test_packed_columns():
+    rng = random.Random(12)
+    for n in (1, 2, 700):
+        s = np.sort(np.array([rng.randrange(1 << 64) for _ in range(n)], np.uint64))
+        place, often = (np.array([rng.randrange(1 << 32) for _ in range(n)]) for _ in range(2))
+        got = _unpacked(_packed(s, place, often), n)
+        assert [x.tolist() for x in got] == [s.tolist(), place.tolist(), often.tolist()]
