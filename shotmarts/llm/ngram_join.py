@@ -48,6 +48,10 @@ from shotmarts.llm.graphs import components
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Columns that name a row, where a caller needs them.
+OWN = ("row_id", "key_a", "key_b")
+
+
 @dataclass(frozen=True)
 class Join:
     n: int = 5
@@ -138,16 +142,16 @@ def _joined(table: pa.Table) -> list[np.ndarray]:
 
 def _rows(docs: DataFrame, join: Join) -> DataFrame:
     """A row per document, with its repeated columns, rarest first, if these could be enough for a
-    link; of equal sets in a block of documents only one has them. ``docs`` may bring a ``row_id``,
-    which is kept.
+    link; of equal sets in a block of documents only one has them. Columns ``OWN`` that ``docs`` brings
+    are kept.
 
     A block of documents sends its columns packed, by range of their digests. Of each range the
     columns that several sets have go back to their block.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    own = ["row_id"] if "row_id" in docs.columns else []
-    fields = f"{'row_id: long, ' if own else ''}doc_id: {kind}, digest: binary, size: long, place: int"
+    own = [c for c in OWN if c in docs.columns]
+    fields = f"{''.join(f'{c}: long, ' for c in own)}doc_id: {kind}, digest: binary, size: long, place: int"
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def work(batch: list[dict]) -> Iterator[tuple]:
@@ -201,7 +205,7 @@ def _rows(docs: DataFrame, join: Join) -> DataFrame:
         return pa.concat_tables([told, pa.table([pa.array(c, f.type) for c, f in zip(back, schema)], schema=schema)])
 
     found = blocks.groupBy("range").applyInArrow(several, sent)
-    given = f"{'row_id long, ' if own else ''}doc_id {kind}, digest binary, vid long, size long, given array<long>"
+    given = f"{''.join(f'{c} long, ' for c in own)}doc_id {kind}, digest binary, vid long, size long, given array<long>"
     target = to_arrow_schema(StructType.fromDDL(given))
 
     def lists(table: pa.Table) -> pa.Table:
@@ -379,9 +383,9 @@ def similarity_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 
 def _placed(docs: DataFrame, join: Join) -> DataFrame:
-    """``doc_id``, ``size`` and ``component``, NULL for empty sets, of every row, and its ``row_id``
-    if ``docs`` brings one."""
-    own = ["row_id"] if "row_id" in docs.columns else []
+    """``doc_id``, ``size`` and ``component``, NULL for empty sets, of every row, and its
+    columns ``OWN``."""
+    own = [c for c in OWN if c in docs.columns]
     ws = common.Workspace(docs.sparkSession, "ngram-join")
     sets = ws.store(_rows(docs, join), "sets")
     rows = sets.where("given is not null").dropDuplicates(["digest"])
@@ -397,18 +401,29 @@ def _placed(docs: DataFrame, join: Join) -> DataFrame:
     placed = placed.join(found, F.col("digest") == F.col("vertex"), "left").select(
         *own, "doc_id", "size", F.coalesce("component", "digest").alias("component")
     )
-    return ws.store(placed, "labelled")
+    placed = ws.store(placed, "labelled")
+    steps = [f"{step}-{what}" for step in ("head", "star", "stars", "product") for what in ("pairs", "links")]
+    ws.drop("rows", "placed", *steps)
+    return placed
 
 
 def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """The whole rows of the documents that rank first in their component, and of those without
     one, in the input's columns. NULL ``doc_id`` ranks last; rows repeated with their ``doc_id`` rank
-    in the order in which they were read."""
-    ws = common.Workspace(docs.sparkSession, "ngram-rows")
+    in the order in which they were read. ``docs`` is read three times and must give the same rows,
+    in any order; they are known again by 128 bits of all their columns."""
+    told = [c for name in docs.columns for c in (F.col(name), F.col(name).isNull())]
+    keys = ["key_a", "key_b"]
+    keyed = docs.withColumns({k: F.xxhash64(F.lit(k), *told) for k in keys})
     row_id = F.monotonically_increasing_id().alias("row_id")
-    stored = ws.store(docs.select(row_id, F.struct(*docs.columns).alias("row")), "rows")
-    placed = _placed(stored.select("row_id", "row.doc_id", "row.text"), join)
+    placed = _placed(keyed.select(row_id, *keys, "doc_id", "text"), join)
+    filled = placed.where("component is not null")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
-    least = placed.where("component is not null").groupBy("component").agg(F.min(rank).alias("first"))
-    gone = placed.join(least, "component").where("row_id != first.row_id").select("row_id")
-    return stored.join(gone, "row_id", "left_anti").select("row.*")
+    least = filled.groupBy("component").agg(F.min(rank).alias("first"))
+    gone = filled.join(least, "component").where("row_id != first.row_id").select(*keys, "component")
+    # Rows equal in all columns go together, so of a first row's equals one has to come back.
+    first = filled.join(least, "component").where("row_id = first.row_id").select(*keys, "component")
+    equal = first.join(gone, [*keys, "component"], "left_semi").select(*keys).distinct()
+    left = keyed.join(gone.select(*keys).distinct(), keys, "left_anti")
+    back = keyed.join(equal, keys, "left_semi").dropDuplicates(keys)
+    return left.unionByName(back).select(*docs.columns)

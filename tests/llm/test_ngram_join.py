@@ -128,3 +128,13 @@ def test_packed_columns():
         place, often = (np.array([rng.randrange(1 << 32) for _ in range(n)]) for _ in range(2))
         got = _unpacked(_packed(s, place, often), n)
         assert [x.tolist() for x in got] == [s.tolist(), place.tolist(), often.tolist()]
+
+
+def test_one_of_rows_equal_in_all_columns(spark):
+    rng = random.Random(13)
+    near, alone = (" ".join(words(rng, 60)) for _ in range(2))
+    rows = [(1, near, None, 0), (1, near, None, 0), (1, near, 0, None), (2, near, None, 0), (3, alone, 1, 1)]
+    rows += [(3, alone, 1, 1), (4, None, 2, 2), (4, None, 2, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, x int, y int").coalesce(1)
+    got = sorted((r.doc_id, r.x, r.y) for r in one_of_each(docs).collect())
+    assert got == [(1, None, 0), (3, 1, 1), (4, 2, 2), (4, 2, 2)]
