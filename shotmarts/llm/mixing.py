@@ -15,7 +15,7 @@ the first digits of their hash, with blocks summed up first. Blocks grow as the
 
 Defined cases: a NULL text has no words and is taken with its neighbours; a NULL source is a source
 of its own and comes last; rows repeated with their ``doc_id`` follow each other; an empty table
-gives an empty result. Other columns of the input are not read.
+gives an empty result. ``mix`` does not read other columns of the input.
 
 DataFrame functions only.
 """
@@ -45,6 +45,8 @@ class Ramp:
         return (a - F.sqrt(a * a - 4 * (a - 1) * share)) / (2 * (a - 1))
 
 
+#: Columns that name a row by what it holds, where a caller needs them.
+OWN = ("key_a", "key_b")
 #: Weights repeat over the sources in order of their names.
 WEIGHTS = (5, 2, 1)
 #: Heavy sources early, light ones late.
@@ -85,13 +87,16 @@ def mix(
     most_passes: int = 3,
 ) -> DataFrame:
     """One row per document: ``row_id``, ``doc_id``, ``size``, ``source_size``, ``target``,
-    ``passes``, ``taken`` and ``positions``, one for each pass."""
+    ``passes``, ``taken`` and ``positions``, one for each pass. Columns ``OWN`` that ``docs`` brings
+    are kept."""
     ws = common.Workspace(docs.sparkSession, "mixing")
+    kept = [c for c in OWN if c in docs.columns]
     own = F.col("row_id") if "row_id" in docs.columns else F.monotonically_increasing_id()
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = ws.store(
         docs.select(
-            own.alias("row_id"), "doc_id", "source", common.word_count().alias("size"), order.alias("draw")
+            own.alias("row_id"), *kept, "doc_id", "source", common.word_count().alias("size"),
+            order.alias("draw"),
         ),
         "sized",
     )
@@ -111,7 +116,7 @@ def mix(
     drawn = sized.alias("d").join(
         begun.alias("b"), F.expr("d.source <=> b.source and d.block = b.block")
     ).select(
-        "row_id", "doc_id", F.col("d.source").alias("source"), "size", "source_size", "target", "kind",
+        "row_id", *kept, "doc_id", F.col("d.source").alias("source"), "size", "source_size", "target", "kind",
         (F.col("begin") + F.sum("size").over(running) - F.col("size")).alias("before"),
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -135,7 +140,7 @@ def mix(
 
     passes = F.slice(F.array(*[F.lit(k) for k in range(most_passes)]), F.lit(1), F.col("passes").cast("int"))
     return counted.select(
-        "row_id", "doc_id", "size", "source_size", "target", "passes",
+        "row_id", *kept, "doc_id", "size", "source_size", "target", "passes",
         (F.col("passes") * F.col("size")).alias("taken"),
         F.transform(passes, positions).alias("positions"),
     )
@@ -143,10 +148,11 @@ def mix(
 
 def stream(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix in order of training position, each as often as it is taken, in the
-    input's columns."""
-    ws = common.Workspace(docs.sparkSession, "stream")
-    row_id = F.monotonically_increasing_id().alias("row_id")
-    stored = ws.store(docs.select(row_id, F.struct(*docs.columns).alias("row")), "rows")
-    mixed = mix(stored.select("row_id", "row.doc_id", "row.source", "row.text"), **options)
-    placed = mixed.select("row_id", F.explode("positions").alias("position"))
-    return stored.join(placed, "row_id").orderBy("position", "row_id").select("row.*")
+    input's columns. ``docs`` is read twice and must give the same rows, in any order; they are known
+    again by 128 bits of all their columns. Rows equal in all columns travel as one."""
+    told = [c for name in docs.columns for c in (F.col(name), F.col(name).isNull())]
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *(F.xxhash64(F.lit(k), *told).alias(k) for k in OWN))
+    mixed = mix(keyed.select(*OWN, "row.doc_id", "row.source", "row.text"), **options)
+    placed = mixed.select(*OWN, "row_id", F.explode("positions").alias("position"))
+    whole = keyed.groupBy(*OWN).agg(F.first("row").alias("row"))
+    return whole.join(placed, list(OWN)).orderBy("position", "row_id").select("row.*")

@@ -113,6 +113,27 @@ def test_mix_odd_rows(odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == mixing.stream(no_docs).count() == 0
 
 
+def test_stream_keeps_copies_apart_and_stores_no_text(spark, monkeypatch):
+    rng = random.Random(9)
+    plain = [(i, rng.choice(["a", "b", None]), " ".join(words(rng, 20)), i % 2) for i in range(30)]
+    rows = plain + plain[:7] * 3 + [(i, s, t, None) for i, s, t, _ in plain[5:9]] + [(None, None, None, None)] * 2
+    schema = "doc_id long, source string, text string, key_a int"
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    passes = Counter()
+    for r in mixing.mix(docs.drop("key_a")).collect():
+        passes[r.doc_id] += r.passes
+    stored, store = [], mixing.common.Workspace.store
+
+    def noted(ws, df, name):
+        stored.append(df.columns)
+        return store(ws, df, name)
+
+    monkeypatch.setattr(mixing.common.Workspace, "store", noted)
+    got = mixing.stream(docs).collect()
+    assert Counter(r.doc_id for r in got) == +passes and set(map(tuple, got)) <= set(rows)
+    assert stored and not any({"row", "text"} & set(columns) for columns in stored)
+
+
 def base(text):
     text = text or ""
     found = WORD.findall(text)
