@@ -78,3 +78,36 @@ def test_remove_defaults_and_empty(spark, odd_docs, no_docs):
     got = suffixes.remove(odd_docs).collect()
     assert sorted(map(tuple, got), key=key) == sorted(brute(rows, 200), key=key)
     assert suffixes.remove(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("hot, unfolded", [(1, 50), (5, 2_000_000), (50_000, 300)])
+def test_repeats_without_records_of_windows_or_stored_texts(spark, monkeypatch, hot, unfolded):
+    rng = random.Random(hot)
+    line = " ".join(words(rng, 60, 10**6))
+    family = line.split()
+    rows = [(i, f"{' '.join(words(rng, 20, 10**6))} {line} {' '.join(words(rng, 20, 10**6))}") for i in range(40)]
+    for i in range(40):  # near copies, some of which share an edit
+        edited = list(family)
+        edited[rng.randrange(60)] = f"edit{rng.randrange(4)}"
+        rows.append((100 + i, " ".join(edited)))
+    rows += [(200 + i, " ".join(words(rng, 100, 10**6))) for i in range(20)] + [(300, f"{line} # {line}")] + rows[:3]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(suffixes.common.Workspace, "store", None)
+    monkeypatch.setattr(suffixes, "UNFOLDED", unfolded)
+    got = suffixes.remove(docs, hot=hot).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute(rows, 200), key=key)
+
+
+def test_repeats_of_a_batch_in_parts():
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 99, 400).astype(np.uint8).tobytes()
+    cut = [(0, 40, base[0:240]), (0, 40, base[0:120] + b"x" + base[121:240]), (0, 30, base[10:230]), (1, 5, base[50:252])]
+    h, d, stretches = (list(x) for x in zip(*cut))
+    for unfolded in (1, 7, 10**6):
+        suffixes.UNFOLDED, whole = unfolded, suffixes.UNFOLDED
+        try:
+            marks = suffixes._repeated(np.array(h), np.array(d), stretches, 200)
+        finally:
+            suffixes.UNFOLDED = whole
+        # Windows 10 to 30 of the first stretch are those of the third; the others are alone.
+        assert np.flatnonzero(marks).tolist() == [*range(10, 31), *range(82, 103)]
