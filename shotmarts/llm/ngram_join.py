@@ -1,9 +1,10 @@
 """Similarity join on word n-grams: a sparse product of documents by their rarest n-grams.
 
 A document is the set of its distinct ``n``-word shingles, as 64-bit digests. Two link when their
-Jaccard similarity reaches ``percent``. Equal sets are one row of the product. Columns are dealt
-out by ranges of their digests, packed, so a task counts in how many sets each of its columns is, and
-those of several sets go back to their documents.
+Jaccard similarity reaches ``percent``. Equal sets are one row of the product, and of documents with
+the same words one sends its columns. Columns are dealt out by ranges of their digests, packed, so a
+task counts in how many sets each of its columns is, and those of several sets go back to their
+documents.
 
 Bounds from the set sizes keep the product small:
 
@@ -48,6 +49,9 @@ from shotmarts.llm.graphs import components
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Every separator of words as a space, and ASCII letters in lower case.
+_LINE = bytes.maketrans(common.SPACES, b" " * len(common.SPACES)).lower()
+
 #: Columns that name a row, where a caller needs them.
 OWN = ("row_id", "key_a", "key_b")
 
@@ -140,10 +144,64 @@ def _joined(table: pa.Table) -> list[np.ndarray]:
     return [*(np.concatenate(x) for x in zip(*parts, strict=True)), owner]
 
 
-def _rows(docs: DataFrame, join: Join) -> DataFrame:
+def one_line(text: str | None) -> bytes:
+    """The words of a text, in lower case and one space apart."""
+    line = (text or "").encode("utf-8", "surrogatepass").translate(_LINE)
+    while b"  " in line:
+        line = line.replace(b"  ", b" ")
+    return line.strip(b" ")
+
+
+def _content(texts: list[str | None]) -> int:
+    told = xxhash.xxh3_64()
+    for text in texts:
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        told.update(len(raw).to_bytes(8, "little"))
+        told.update(raw)
+    return told.intdigest() - (1 << 63)
+
+
+def _copies(docs: DataFrame, ws: common.Workspace) -> dict[int, tuple[int, bytes]]:
+    """For each block with documents whose words another document has, of which that one will do: the
+    block's content, and as bits the places in it of such documents. Of the documents with the same
+    words one has no bit."""
+
+    def work(batch: list[dict]) -> Iterator[tuple]:
+        part = TaskContext.get().partitionId()
+        for chunk in common.chunks(batch):
+            block = (part << 32) + next(numbers)
+            content = _content([r["text"] for r in chunk])
+            for place, r in enumerate(chunk):
+                words = one_line(r["text"])
+                if words:
+                    digest = xxhash.xxh3_128_digest(words)
+                    high, low = (int.from_bytes(d, "little", signed=True) for d in (digest[:8], digest[8:]))
+                    yield block, content, place, high, low
+
+    def bits(table: pa.Table) -> pa.Table:
+        marked = np.zeros(pc.max(table.column("place")).as_py() + 1, bool)
+        marked[table.column("place").to_numpy()] = True
+        packed = {"block": table.column("block")[:1], "content": table.column("content")[:1], "bits": [np.packbits(marked).tobytes()]}
+        return pa.table([pa.array(packed[f.name], f.type) if f.name == "bits" else packed[f.name] for f in given], schema=given)
+
+    numbers = iter(range(1 << 32))
+    given = pa.schema([("block", pa.int64()), ("content", pa.int64()), ("bits", pa.binary())])
+    known = common.map_rows(docs, "block long, content long, place int, high long, low long", work)
+    known = ws.store(known, "known")
+    first = known.groupBy("high", "low").agg(F.min(F.struct("block", "place")).alias("first")).select("first.*")
+    copies = known.join(first, ["block", "place"], "left_anti").select("block", "content", "place")
+    found = copies.groupBy("block").applyInArrow(bits, "block long, content long, bits binary").collect()
+    ws.drop("known")
+    return {r.block: (r.content, bytes(r.bits)) for r in found}
+
+
+def _rows(docs: DataFrame, join: Join, ws: common.Workspace) -> DataFrame:
     """A row per document, with its repeated columns, rarest first, if these could be enough for a
-    link; of equal sets in a block of documents only one has them. Columns ``OWN`` that ``docs`` brings
-    are kept.
+    link; of documents with the same words, and of equal sets in a block of documents, only one has
+    them. Columns ``OWN`` that ``docs`` brings are kept.
+
+    Documents with the same words are found first, as the columns of each would else count as repeated.
+    A block that is not read again as it was then sends all its documents, so one always does.
 
     A block of documents sends its columns packed, by range of their digests. Of each range the
     columns that several sets have go back to their block.
@@ -153,24 +211,34 @@ def _rows(docs: DataFrame, join: Join) -> DataFrame:
     own = [c for c in OWN if c in docs.columns]
     fields = f"{''.join(f'{c}: long, ' for c in own)}doc_id: {kind}, digest: binary, size: long, place: int"
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read = docs.select(*own, "doc_id", "text")
+    copies = spark.sparkContext.broadcast(_copies(read, ws))
+
+    def single(block: int, texts: list[str | None]) -> np.ndarray:
+        """Whether each document sends its columns, or another one with the same words does."""
+        content, bits = copies.value.get(block, (0, b""))
+        copied = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(texts)).astype(bool)
+        return ~copied if bits and content == _content(texts) else np.ones(len(texts), bool)
 
     def work(batch: list[dict]) -> Iterator[tuple]:
         part = TaskContext.get().partitionId()
         for chunk in common.chunks(batch):
-            sets = shingle_sets([r["text"] for r in chunk], join.n)
+            texts = [r["text"] for r in chunk]
+            sets = shingle_sets(texts, join.n)
             digests = [set_digest(s) if len(s) else None for s in sets]
-            places = {d: i for i, d in enumerate(dict.fromkeys(d for d in digests if d))}
             number = next(numbers)
             block = (part << 32) + number
+            sent_by = single(block, texts).tolist()
+            different = {d: s for d, s, own_set in zip(digests, sets, sent_by, strict=True) if d and own_set}
+            places = {d: i for i, d in enumerate(different)}
             yield block, (part + number) % ranges, 0, None, [
                 {**{c: r[c] for c in own}, "doc_id": r["doc_id"], "digest": d, "size": len(s), "place": places.get(d)}
                 for r, d, s in zip(chunk, digests, sets, strict=True)
             ]
-            different = list({d: s for d, s in zip(digests, sets, strict=True) if d}.values())
             if not different:
                 continue
-            s = np.concatenate(different).view(np.uint64)
-            place = np.repeat(np.arange(len(different)), [len(x) for x in different])
+            s = np.concatenate(list(different.values())).view(np.uint64)
+            place = np.repeat(np.arange(len(different)), [len(x) for x in different.values()])
             order = np.argsort(s, kind="stable")
             s, place = s[order], place[order]
             at = ((s >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
@@ -180,7 +248,7 @@ def _rows(docs: DataFrame, join: Join) -> DataFrame:
 
     numbers = iter(range(1 << 32))
     sent = f"block long, range long, n long, packed array<binary>, docs array<struct<{fields}>>"
-    blocks = common.map_rows(docs.select(*own, "doc_id", "text"), sent, work, rows=64)
+    blocks = common.map_rows(read, sent, work, rows=64)
     schema = to_arrow_schema(StructType.fromDDL(sent))
 
     def several(table: pa.Table) -> pa.Table:
@@ -262,7 +330,7 @@ def _head_pairs(rows: DataFrame, join: Join) -> DataFrame:
 
 
 def _columns(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Sorted records in parts that do not cut a column, with the first place of each column."""
+    """Sorted records in parts that do not cut a column, with the first place of each and the end."""
     held: list[np.ndarray] | None = None
     for batch in source:
         part = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -277,6 +345,33 @@ def _columns(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray
         yield held, np.array([0, len(held[0])])
 
 
+def _close(part: list[np.ndarray], starts: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """The pairs of rows of one column that may link, over all columns of a part at once: each row
+    with the first, second, ... row after it by size, as long as any is left that is not too large."""
+    mixed = np.minimum.reduceat(part[2], starts[:-1]) != np.maximum.reduceat(part[2], starts[:-1])
+    column = np.repeat(np.arange(len(mixed)), np.diff(starts))
+    order = np.lexsort((part[3], column))
+    order = order[mixed[column[order]]]
+    column, (vids, comps, sizes, left) = column[order], (x[order] for x in part[1:])
+    end = np.searchsorted(column, column, "right")
+    # What both rows need, 75 (a + b) / 175 at 75 percent, bounds the larger row by the smaller one.
+    largest = np.minimum(100 * sizes // percent, (100 + percent) * left // percent - sizes)
+    i, after = np.arange(len(vids)), 0
+    while len(i):
+        after += 1
+        i = i[i + after < end[i]]
+        i = i[sizes[i + after] <= largest[i]]
+        j = i + after
+        kept = (comps[i] != comps[j]) & ((100 + percent) * left[j] >= percent * (sizes[i] + sizes[j]))
+        yield _ends(vids[i[kept]], vids[j[kept]])
+
+
+def _ends(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    out = np.empty(len(x), [("a", np.int64), ("b", np.int64)])
+    out["a"], out["b"] = np.minimum(x, y), np.maximum(x, y)
+    return out
+
+
 def _product(rows: DataFrame, join: Join, stars: int = 0) -> DataFrame:
     """Pairs ``a`` < ``b`` of different components that could link, of rows ``vid``, ``comp``, ``size``
     and ``given``.
@@ -288,7 +383,7 @@ def _product(rows: DataFrame, join: Join, stars: int = 0) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def met(part: list[np.ndarray]) -> Iterator[np.ndarray]:
-        """The pairs of one column that may link, from a bounded block of rows at a time."""
+        """The pairs of a column's rows with a few of them that may link."""
         _, vids, comps, sizes, left = part
         if (comps == comps[0]).all():
             return
@@ -300,30 +395,27 @@ def _product(rows: DataFrame, join: Join, stars: int = 0) -> DataFrame:
             near = (100 * sizes[i] >= join.percent * sizes[j]) & (comps[i] != comps[j])
             return near & (np.minimum(left[i], left[j]) >= needed)
 
-        def pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-            out = np.empty(len(x), [("a", np.int64), ("b", np.int64)])
-            out["a"], out["b"] = np.minimum(vids[x], vids[y]), np.maximum(vids[x], vids[y])
-            return out
-
-        if stars:
-            groups, at, counts = np.unique(comps, return_inverse=True, return_counts=True)
-            bulk = np.flatnonzero(at == np.argmax(counts))
-            every = np.arange(len(vids))
-            spread = bulk[(2 * np.arange(stars) + 1) * len(bulk) // (2 * stars)]
-            for centre in {*spread.tolist(), len(every) // 2}:
-                i, j = np.minimum(every, centre), np.maximum(every, centre)
-                kept = may(i, j)
-                yield pairs(i[kept], j[kept])
+        groups, at, counts = np.unique(comps, return_inverse=True, return_counts=True)
+        bulk = np.flatnonzero(at == np.argmax(counts))
+        every = np.arange(len(vids))
+        spread = bulk[(2 * np.arange(stars) + 1) * len(bulk) // (2 * stars)]
+        for centre in {*spread.tolist(), len(every) // 2}:
+            i, j = np.minimum(every, centre), np.maximum(every, centre)
+            kept = may(i, j)
+            yield _ends(vids[i[kept]], vids[j[kept]])
+
+    def of_part(part: list[np.ndarray], starts: np.ndarray) -> Iterator[np.ndarray]:
+        if not len(part[0]):
+            return
+        if not stars:
+            yield from _close(part, starts, join.percent)
             return
-        step = max(1, 1_000_000 // len(vids))
-        for at in range(0, len(vids), step):
-            i = np.arange(at, min(at + step, len(vids)))[:, None]
-            j = np.arange(at, np.searchsorted(sizes, 100 * sizes[i[-1, 0]] // join.percent, "right"))
-            x, y = np.nonzero((j > i) & may(i, j))
-            yield pairs(x + at, y + at)
+        for k in np.flatnonzero(np.diff(starts) > join.hot).tolist():
+            yield from met([x[starts[k] : starts[k + 1]] for x in part])
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        total = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
@@ -332,13 +424,13 @@ def _product(rows: DataFrame, join: Join, stars: int = 0) -> DataFrame:
                 held.clear()
 
         for part, starts in _columns(source):
-            ends = np.append(starts[1:], len(part[0]))[: len(starts)]
-            several = ends - starts > (join.hot if stars else 1)
-            for start, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
-                for pairs in met([x[start:end] for x in part]):
+            for pairs in of_part(part, starts):
+                if len(pairs):
                     held.append(pairs)
-                    if sum(map(len, held)) > 500_000:
-                        yield from flush()
+                    total += len(pairs)
+                if total > 500_000:
+                    yield from flush()
+                    total = 0
         yield from flush()
 
     common.ship(rows.sparkSession)
@@ -387,7 +479,7 @@ def _placed(docs: DataFrame, join: Join) -> DataFrame:
     columns ``OWN``."""
     own = [c for c in OWN if c in docs.columns]
     ws = common.Workspace(docs.sparkSession, "ngram-join")
-    sets = ws.store(_rows(docs, join), "sets")
+    sets = ws.store(_rows(docs, join, ws), "sets")
     rows = sets.where("given is not null").dropDuplicates(["digest"])
     rows = ws.store(rows.select("vid", "digest", "size", "given"), "rows")
     placed = ws.store(sets.select(*own, "doc_id", "size", "digest"), "placed")
@@ -410,7 +502,7 @@ def _placed(docs: DataFrame, join: Join) -> DataFrame:
 def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """The whole rows of the documents that rank first in their component, and of those without
     one, in the input's columns. NULL ``doc_id`` ranks last; rows repeated with their ``doc_id`` rank
-    in the order in which they were read. ``docs`` is read three times and must give the same rows,
+    in the order in which they were read. ``docs`` is read four times and must give the same rows,
     in any order; they are known again by 128 bits of all their columns."""
     told = [c for name in docs.columns for c in (F.col(name), F.col(name).isNull())]
     keys = ["key_a", "key_b"]

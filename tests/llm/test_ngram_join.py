@@ -7,9 +7,9 @@ import random
 import numpy as np
 import pytest
 
-from shotmarts.llm import common
+from shotmarts.llm import common, ngram_join
 from shotmarts.llm.ngram_join import (
-    Join, _packed, _unpacked, one_of_each, shingle_sets, similarity_components,
+    Join, _close, _copies, _packed, _unpacked, one_line, one_of_each, shingle_sets, similarity_components,
 )
 from odd import words
 
@@ -138,3 +138,68 @@ def test_one_of_rows_equal_in_all_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, x int, y int").coalesce(1)
     got = sorted((r.doc_id, r.x, r.y) for r in one_of_each(docs).collect())
     assert got == [(1, None, 0), (3, 1, 1), (4, 2, 2), (4, 2, 2)]
+
+
+def copied(spark, copies=4):
+    """Unlike texts and a family, again and again in partitions of their own, and their docs."""
+    rng = random.Random(14)
+    texts = [" ".join(words(rng, 60, 10**6)) for _ in range(50)]
+    texts += [edited(rng, texts[0], 0.01) for _ in range(3)]
+    also = (str, str.upper, lambda t: f" {t}\n", lambda t: t.replace(" ", "\t  "))
+    parts = [[(1000 * k + i, also[k % 4](t)) for i, t in enumerate(texts)] for k in range(copies)]
+    docs = [spark.createDataFrame(p, "doc_id long, text string").coalesce(1) for p in parts]
+    whole = docs[0]
+    for more in docs[1:]:
+        whole = whole.unionByName(more)
+    return [r for p in parts for r in p], whole
+
+
+def test_columns_of_copies_are_counted_once(spark, monkeypatch):
+    rows, docs = copied(spark)
+    made = {}
+    store = common.Workspace.store
+
+    def counted(ws, df, name):
+        stored = store(ws, df, name)
+        made[name] = stored.count()
+        return stored
+
+    monkeypatch.setattr(common.Workspace, "store", counted)
+    got = sorted(map(tuple, similarity_components(docs).collect()), key=str)
+    assert got == brute(rows)
+    assert made["rows"] <= 4  # the family; 49 texts are unlike all others
+
+
+def test_blocks_that_change_send_all_documents(spark, monkeypatch):
+    rows, docs = copied(spark)
+    found = _copies(docs, common.Workspace(spark, "test-copies"))
+    places = sum(int(np.unpackbits(np.frombuffer(bits, np.uint8)).sum()) for _, bits in found.values())
+    assert places == len(rows) - len({one_line(t) for _, t in rows})
+    other = {block: (content + 1, bits) for block, (content, bits) in found.items()}
+    monkeypatch.setattr(ngram_join, "_copies", lambda docs, ws: other)
+    got = sorted(map(tuple, similarity_components(docs).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_words_on_one_line():
+    assert one_line(" A\tb\r\n\x0b C\x1cÉ \f") == "a b c\x1cÉ".encode()
+    assert one_line(None) == one_line(" \n ") == b""
+
+
+def test_close_pairs_like_comparing_all_rows_of_a_column():
+    rng = np.random.default_rng(15)
+    for most in (1, 5, 60):
+        n = 150
+        s = np.sort(rng.integers(0, most, n))
+        vids, comps, sizes = rng.integers(-(10**18), 10**18, n), rng.integers(0, 6, n), rng.integers(1, 60, n)
+        left = np.minimum(sizes, -(-75 * sizes // 100) + rng.integers(0, 15, n))
+        starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1], [True]]))
+        pairs = [p for x in _close([s, vids, comps, sizes, left], starts, 75) for p in x.tolist()]
+        expected = []
+        for i in range(n):
+            for j in range(i):
+                near = 100 * min(sizes[i], sizes[j]) >= 75 * max(sizes[i], sizes[j])
+                needed = -(-75 * (sizes[i] + sizes[j]) // 175)
+                if s[i] == s[j] and comps[i] != comps[j] and near and min(left[i], left[j]) >= needed:
+                    expected.append((min(vids[i], vids[j]), max(vids[i], vids[j])))
+        assert sorted(pairs) == sorted(expected)
